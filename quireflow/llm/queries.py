@@ -8,21 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, token_counts
-from .common import table
+from . import bpe, language_id, token_counts
+from .common import held_out, table
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.identify(docs, train=~held_out(F.col("doc_id")))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "phrases")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return out.select("doc_id", F.col("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_token_counts, op7_bpe)}
+    return {f.__name__: f for f in (op5_token_counts, op6_language_id, op7_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
