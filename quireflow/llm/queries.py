@@ -8,10 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, token_counts
+from . import bpe, language_id, quality, token_counts
 from .common import held_out, table
 
 
+#: A document is kept where its quality score reaches this.
+QUALITY_THRESHOLD = 0.3
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"), train=~held_out(F.col("doc_id")))
+    out = quality.score(docs, model)
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
@@ -28,7 +39,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_token_counts, op6_language_id, op7_bpe)}
+    return {f.__name__: f for f in (op3_quality, op5_token_counts, op6_language_id, op7_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
