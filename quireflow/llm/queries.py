@@ -8,10 +8,28 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, quality, secrets, token_counts
+from . import bpe, language_id, pii, quality, secrets, token_counts
 from .common import held_out, table
 
 
+def span_list(names: tuple[str, ...], kinds: str, starts: str, ends: str, only: str | None = None) -> Column:
+    """kind:start:end, comma-joined, of parallel arrays; ``only`` is a condition on a kind number k."""
+    labels = ", ".join(f"'{n}'" for n in names)
+    one = f"concat_ws(':', element_at(array({labels}), k + 1), {starts}[i], {ends}[i])"
+    # array_join leaves nulls out
+    return F.expr(f"array_join(transform({kinds}, (k, i) -> {f'if({only}, {one}, null)' if only else one}), ',')")
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("kinds", lambda x: x == k)).cast("long")
+    return found.select(
+        "doc_id", *[count(n).alias(f"n_{k}") for n, k in enumerate(pii.BASE)],
+        F.sha2(span_list(pii.KINDS, "kinds", "starts", "ends", f"k < {len(pii.BASE)}").cast("binary"), 256).alias("base_sha256"),
+        span_list(pii.KINDS, "kinds", "starts", "ends").alias("spans"),
+    )
+
+
 #: A document is kept where its quality score reaches this.
 QUALITY_THRESHOLD = 0.3
 
@@ -38,14 +56,6 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-def span_list(names: tuple[str, ...], kinds: str, starts: str, ends: str, only: str | None = None) -> Column:
-    """kind:start:end, comma-joined, of parallel arrays; ``only`` is a condition on a kind number k."""
-    labels = ", ".join(f"'{n}'" for n in names)
-    one = f"concat_ws(':', element_at(array({labels}), k + 1), {starts}[i], {ends}[i])"
-    # array_join leaves nulls out
-    return F.expr(f"array_join(transform({kinds}, (k, i) -> {f'if({only}, {one}, null)' if only else one}), ',')")
-
-
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("kinds", lambda x: x == k)).cast("long")
@@ -57,7 +67,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality, op5_token_counts, op6_language_id, op7_bpe, op9_secrets)}
+    return {f.__name__: f for f in (op1_pii, op3_quality, op5_token_counts, op6_language_id, op7_bpe, op9_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
