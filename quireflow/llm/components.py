@@ -1,0 +1,36 @@
+"""Connected components of a table of links, by alternating large and small stars."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import cut
+
+#: Stars halve the longest path each round; this many rounds cover any graph that fits a table.
+MOST_ROUNDS = 100
+
+
+def _lowest(edges: DataFrame, by: str, of: str) -> DataFrame:
+    # min() is combined before the shuffle, so a node with many links leaves each task once
+    return edges.groupBy(by).agg(F.min(of).alias("m"))
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``node, root`` for every node of ``links`` (columns a, b); the root is the smallest node reachable.
+
+    Rows with a null end and links of a node to itself say nothing; a node without other links has no row.
+    """
+    edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
+    state = None
+    for _ in range(MOST_ROUNDS):
+        both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(edges.select("lo", "hi"))
+        large = both.where("v > u").join(_lowest(both, "u", "v"), "u").select(F.col("v").alias("hi"), F.least("u", "m").alias("lo"))
+        lowest = _lowest(large, "hi", "lo")
+        small = large.join(lowest, "hi").where("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).union(lowest.select("hi", F.col("m").alias("lo")))
+        edges = cut(small.distinct())
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
+        if now == state:
+            break
+        state = now
+    return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(edges.select("lo", "lo").distinct())

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, pii, quality, secrets, token_counts
+from . import bpe, language_id, near_dup, pii, quality, secrets, token_counts
 from .common import held_out, table
 
 
@@ -66,8 +66,12 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.find(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op3_quality, op5_token_counts, op6_language_id, op7_bpe, op9_secrets)}
+    return {f.__name__: f for f in (op1_pii, op3_quality, op5_token_counts, op6_language_id, op7_bpe, op9_secrets, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
