@@ -100,16 +100,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words_of(data: np.ndarray, doc_starts: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words_of(data: np.ndarray, doc_starts: np.ndarray, lower: bool = True, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words (runs of bytes other than space and \\t to \\r) of texts laid end to end.
 
-    ``data`` is the UTF-8 bytes; ``doc_starts`` where each text starts. Returns 64-bit hashes of the
+    ``data`` is the UTF-8 bytes; ``doc_starts`` where each text starts; ``space`` marks other bytes
+    between words instead. Returns 64-bit hashes of the
     words (A-Z lower-cased if ``lower``), starts, ends and the index of each word's text.
     """
     if not len(data):
         none = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), none, none, none
-    solid = ~_SPACE[data]
+    solid = ~space[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     inner = doc_starts[(doc_starts > 0) & (doc_starts < len(data))]
@@ -138,11 +139,11 @@ def bytes_of(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray, n
     return data, ends - ends[0]
 
 
-def batch_words(batch: pa.RecordBatch, column: str = "text", lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def batch_words(batch: pa.RecordBatch, column: str = "text", lower: bool = True, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of a batch and each word's row. A text of many runs is cut at spaces, so memory stays bounded."""
     data, ends = bytes_of(batch, column)
     if len(data) <= 4 * RUN_BYTES:
-        hashes, _, _, docs = words_of(data, ends[:-1], lower)
+        hashes, _, _, docs = words_of(data, ends[:-1], lower, space)
         return hashes, docs
     parts, docs = [], []  # a batch that big is one text
     at = 0
@@ -152,7 +153,7 @@ def batch_words(batch: pa.RecordBatch, column: str = "text", lower: bool = True)
             more = np.flatnonzero(_SPACE[data[to : to + RUN_BYTES]])
             to = to + int(more[0]) if len(more) else min(len(data), to + RUN_BYTES)
         inside = ends[:-1][(ends[:-1] > at) & (ends[:-1] < to)]
-        h, starts, _, _ = words_of(data[at:to], np.append(0, inside - at), lower)
+        h, starts, _, _ = words_of(data[at:to], np.append(0, inside - at), lower, space)
         parts.append(h)
         docs.append(np.searchsorted(ends[:-1], starts + at, "right") - 1)
         at = to

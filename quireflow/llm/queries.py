@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, near_dup, pii, quality, secrets, token_counts
+from . import bpe, decontamination, language_id, near_dup, pii, quality, secrets, token_counts
 from .common import held_out, table
 
 
@@ -41,6 +41,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
@@ -71,7 +75,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op3_quality, op5_token_counts, op6_language_id, op7_bpe, op9_secrets, op10_near_dup)}
+    return {f.__name__: f for f in (op1_pii, op3_quality, op4_decontamination, op5_token_counts, op6_language_id, op7_bpe, op9_secrets, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
