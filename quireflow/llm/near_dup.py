@@ -11,6 +11,8 @@ expanded into pairs. Buckets are not expanded into all pairs either:
    the similarity out (five standard deviations) go, the others are confirmed on full sets;
 2. in buckets that then still hold several components, pairs across components that no bucket's
    smallest class was part of are confirmed too. A pair is taken up by the first table it shares.
+   A bucket with many such pairs is not expanded: its texts go to one task, which compares all
+   their sets and gives only links that connect them.
    A bucket of more than ``BLOCK`` classes is worked off in pairs of blocks, in tasks of their own.
 
 So every pair that shares a bucket is confirmed, or ruled out, or already in one component.
@@ -37,6 +39,8 @@ from .components import components
 
 #: MinHash values in each of the two collections; bins of the sketch; classes in a block of a bucket.
 M, BINS, BLOCK = 7, 256, 4096
+#: A bucket with more pairs for each class than this is confirmed whole, without a row for each pair.
+DENSE = 8
 _ODD = np.random.default_rng(77).integers(1, 2**63, 2 * M, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _HEAD = 8 * M  # bytes of the 2 M values before the sketch
 
@@ -113,45 +117,118 @@ def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str,
     return rows.join(first.hint("shuffle_hash"), "doc_id").select("cls", "text")
 
 
+def _groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[list[tuple]]:
+    """Runs of rows with equal first three columns, from sorted batches."""
+    group: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+            if group and group[0][:3] != row[:3]:
+                yield group
+                group = []
+            group.append(row)
+    if group:
+        yield group
+
+
 def _across(rows: DataFrame, share: float) -> DataFrame:
-    """Pairs of classes in one bucket but different components; rows come sorted by bucket and block pair."""
+    """What is left to confirm in buckets with several components; rows come sorted by bucket and block pair.
+
+    Pairs ``a, b`` of classes in different components, taken up by the first table they share. Where a
+    bucket has more of them than ``DENSE`` for each class, its classes are given instead, ``b`` null.
+    """
+    columns = ("key", "bi", "bj", "t", "cls", "root", "n", "sig", "side", "lead")
 
-    def pairs_of(cls: list[bytes], root: np.ndarray, n: np.ndarray, sig: np.ndarray, table: int, side: np.ndarray, lead: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+    def pairs_of(group: list[tuple]) -> Iterator[tuple[int, np.ndarray]]:
+        n, side, lead = np.array([r[6] for r in group]), np.array([r[8] for r in group], bool), np.array([r[9] for r in group], bool)
+        _, root = np.unique(np.array([r[5].hex() for r in group]), return_inverse=True)
+        sig = np.frombuffer(b"".join(r[7] for r in group), np.uint8).reshape(len(group), -1)
         head, sketch = sig[:, :_HEAD].copy().view("<u4"), sig[:, _HEAD:]
-        i, j = divmod(table, M)
-        two_blocks = side.any() and not side.all()
-        for k in range(len(cls)):
+        i, j = divmod(group[0][3], M)
+        two_blocks = group[0][1] != group[0][2]
+        for k in range(len(group)):
             if lead[k] or two_blocks and side[k]:
                 continue
-            others = side if two_blocks else np.arange(len(cls)) > k
+            others = side if two_blocks else np.arange(len(group)) > k
             others = np.flatnonzero(others & (root != root[k]) & ~lead)
             others = others[np.minimum(n[others], n[k]) >= share * np.maximum(n[others], n[k]) - 1e-9]
             same = head[others] == head[k]
             others = others[(same[:, :M].argmax(1) == i) & same[:, i] & (same[:, M:].argmax(1) == j) & same[:, M + j]]
             if len(others):
-                for o in others[_plausible(sketch[others], sketch[k], share)]:
-                    yield min(cls[k], cls[o]), max(cls[k], cls[o])
+                yield k, others[_plausible(sketch[others], sketch[k], share)]
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            if len(group) > 1:
-                cls = [r[4] for r in group]
-                _, root = np.unique(np.array([r[5].hex() for r in group]), return_inverse=True)
-                sig = np.frombuffer(b"".join(r[7] for r in group), np.uint8).reshape(len(group), -1)
-                flags = [np.array([r[c] for r in group], bool) for c in (8, 9)]
-                found = list(pairs_of(cls, root, np.array([r[6] for r in group]), sig, group[0][3], *flags))
-                for at in range(0, len(found), 10_000):
-                    yield pa.record_batch({"a": pa.array([p[0] for p in found[at : at + 10_000]], pa.binary()), "b": pa.array([p[1] for p in found[at : at + 10_000]], pa.binary())})
+        for group in _groups(batches, columns):
+            found, total = [], 0
+            for k, others in pairs_of(group):
+                total += len(others)
+                if total > DENSE * len(group):
+                    break
+                found += [(group[k][4], group[o][4]) for o in others]
+            if total > DENSE * len(group):
+                out = [(*r[:3], r[4], None, r[8]) for r in group]
+            else:
+                out = [(None, None, None, min(p), max(p), None) for p in found]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.bool_()))], names=["key", "bi", "bj", "a", "b", "side"])
+
+    return rows.mapInArrow(over, "key long, bi int, bj int, a binary, b binary, side boolean")
+
+
+def _dense_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links that connect the classes of dense buckets, from full sets; rows come sorted by bucket and block pair.
+
+    Intersections come as products of incidence matrices over the shingles that several texts hold, a
+    few columns and rows at a time. Links within one component already found here are not given.
+    """
+
+    def links_of(group: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+        batch = pa.record_batch({"text": pa.array([r[4] for r in group])})
+        values, owner = [], []
+        at = 0
+        for part in common.runs(batch, "text"):
+            v, r = common.distinct_by_row(*common.shingles(*common.batch_words(part), width))
+            values.append(v)
+            owner.append(r + at)
+            at += part.num_rows
+        values, owner = np.concatenate(values), np.concatenate(owner)
+        n = np.bincount(owner, minlength=len(group))
+        _, column, uses = np.unique(values, return_inverse=True, return_counts=True)
+        shared = uses > 1
+        number = np.cumsum(shared) - 1
+        owner, column = owner[shared[column]], number[column[shared[column]]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        wide = int(shared.sum())
+        side = np.array([r[5] for r in group], bool)
+        left, right = (np.flatnonzero(~side), np.flatnonzero(side)) if side.any() and not side.all() else (np.arange(len(group)),) * 2
+        parent = list(range(len(group)))
+
+        def top(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for at in range(0, len(left), 512):
+            mine = left[at : at + 512]
+            both = np.zeros((len(mine), len(right)), np.float32)
+            for c in range(0, wide, 2048):
+                lo, hi = np.searchsorted(column, [c, c + 2048])
+                matrix = np.zeros((len(group), min(2048, wide - c)), np.float32)
+                matrix[owner[lo:hi], column[lo:hi] - c] = 1
+                both += matrix[mine] @ matrix[right].T
+            linked = 100 * both >= percent * (n[mine][:, None] + n[right][None] - both)
+            for x, y in zip(*np.nonzero(linked), strict=True):
+                a, b = int(mine[x]), int(right[y])
+                if a != b and (p := top(a)) != (q := top(b)):
+                    parent[p] = q
+                    yield group[a][3], group[b][3]
 
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "bi", "bj", "t", "cls", "root", "n", "sig", "side", "lead")), strict=True):
-                if group and group[0][:3] != row[:3]:
-                    yield from done()
-                    group = []
-                group.append(row)
-        yield from done()
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ("key", "bi", "bj", "cls", "text", "side")):
+            found = list(links_of(group))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([p[c] for p in found], pa.binary()) for c in (0, 1)], names=["a", "b"])
 
     return rows.mapInArrow(over, "a binary, b binary")
 
@@ -188,9 +265,12 @@ def classes_and_components(docs: DataFrame, width: int = 4, percent: int = 80, i
     open_ = open_.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"bi": F.least("blk", "o"), "bj": F.greatest("blk", "o")})
     open_ = open_.join(classes.select("cls", "n", "sig"), "cls").select("key", "bi", "bj", "t", "cls", "root", "n", "sig", (F.col("blk") > F.col("bi")).alias("side"), (F.col("cls") == F.col("lead")).alias("lead"))
     dealt = open_.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "cls")
-    more = cut(_across(dealt, share).distinct())
-    wanted = more.select(F.col("a").alias("cls")).union(more.select("b")).distinct().join(texts, "cls", "left_anti")
-    links = links.union(_confirmed(more, texts.union(_texts(docs, classes, wanted, id_col, text_col)), width, percent))
+    more = cut(_across(dealt, share))
+    pairs, dense = more.where("b IS NOT NULL").select("a", "b").distinct(), more.where("b IS NULL").select("key", "bi", "bj", F.col("a").alias("cls"), "side")
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(dense.select("cls")).distinct()
+    texts = cut(texts.join(wanted, "cls", "left_semi").union(_texts(docs, classes, wanted.join(texts, "cls", "left_anti"), id_col, text_col)))
+    whole = dense.join(texts, "cls").repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "cls")
+    links = links.union(_confirmed(pairs, texts, width, percent)).union(_dense_links(whole.select("key", "bi", "bj", "cls", "text", "side"), width, percent))
 
     roots = components(links).withColumnRenamed("node", "cls")
     firsts = classes.select("cls", "first").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
