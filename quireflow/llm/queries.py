@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, language_id, near_dup, pii, quality, secrets, token_counts
+from . import bpe, decontamination, language_id, near_dup, neighbours, pii, quality, secrets, token_counts
 from .common import held_out, table
 
 
@@ -60,6 +60,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), queries=F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("kinds", lambda x: x == k)).cast("long")
@@ -75,7 +79,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op3_quality, op4_decontamination, op5_token_counts, op6_language_id, op7_bpe, op9_secrets, op10_near_dup)}
+    return {f.__name__: f for f in (op1_pii, op3_quality, op4_decontamination, op5_token_counts, op6_language_id, op7_bpe, op8_neighbours, op9_secrets, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
