@@ -90,8 +90,14 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.find(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_chat, op3_quality, op4_decontamination, op5_token_counts, op6_language_id, op7_bpe, op8_neighbours, op9_secrets, op10_near_dup)}
+    return {"pipeline": pipeline} | {f.__name__: f for f in (op1_pii, op2_chat, op3_quality, op4_decontamination, op5_token_counts, op6_language_id, op7_bpe, op8_neighbours, op9_secrets, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
