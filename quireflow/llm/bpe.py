@@ -36,7 +36,7 @@ KEEP = 400_000
 #: Longer words are not kept.
 KEEP_CHARS = 64
 
-_WHITE = "\t-\r \u0085   -     　"
+_WHITE = "\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _loaded: dict[str, "WordBpe"] = {}
 
 
