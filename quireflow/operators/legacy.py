@@ -7,7 +7,6 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from ..functions import text as T
 from ..functions.vocab import S, WS
@@ -21,18 +20,17 @@ TITLE_CUT = "第卷部册"
 AUTHOR_CUT = "著编主译校注点整理疏笺辑"
 
 
-@pandas_udf("string")
-def nfkc(text: pd.Series) -> pd.Series:
-    """Compatibility composition; the engine has no built-in for it."""
-    return text.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
+def nfkc(text: Column) -> Column:
+    """Compatibility composition; the engine has no built-in for it, so texts beyond ASCII go to Python in batches."""
 
+    def compose(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
+
+    return F.pandas_udf(compose, "string")(text)
 
-def clean_text(text: Column, compose: bool = True) -> Column:
-    """Ends stripped, white space collapsed, brackets and rare characters deleted, composed.
 
-    Most texts hold nothing that composition changes; those without a character outside ASCII, han and
-    the kept punctuation skip the Python function.
-    """
+def clean_text(text: Column, compose: bool = True) -> Column:
+    """Ends stripped, white space collapsed, brackets and rare characters deleted, composed."""
     s = F.regexp_replace(T.present(text), f"^{S}+|{S}+$", "")
     s = F.regexp_replace(s, f"{S}+", " ")
     s = F.translate(s, BRACKETS, "")
