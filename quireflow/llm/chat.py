@@ -92,9 +92,10 @@ def best_paths(messages: DataFrame, keep: int = 1) -> DataFrame:
     steps, count = [jump], jump.count()
     while (1 << len(steps)) <= 2 * count and not steps[-1].where("up IS NOT NULL").isEmpty():
         last = steps[-1]
+        # only nodes that have not reached their root go on; the others' sums stand
         far = last.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("total2"), F.col("n").alias("n2"))
-        joined = last.join(far, "up", "left")
-        steps.append(cut(joined.select("node", "tree", F.col("up2").alias("up"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"), (F.col("n") + F.coalesce("n2", F.lit(0))).alias("n"))))
+        going = last.where("up IS NOT NULL").join(far, "up").select("node", "tree", F.col("up2").alias("up"), (F.col("total") + F.col("total2")).alias("total"), (F.col("n") + F.col("n2")).alias("n"))
+        steps.append(cut(going.union(last.where("up IS NULL").select("node", "tree", "up", "total", "n"))))
     ends = steps[-1].where("up IS NULL").join(leaves, "node", "left_semi")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("n")), F.desc("n"), "node"))
     chosen = ends.withColumn("r", rank).where(F.col("r") <= keep).select("tree", F.col("node").alias("path"), "n", "node", F.lit(0).cast("long").alias("up_by"))
