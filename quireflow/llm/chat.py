@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -108,83 +108,115 @@ def best_paths(messages: DataFrame, keep: int = 1) -> DataFrame:
     return chosen.select("tree", "path", (F.col("n") - F.col("up_by")).alias("depth"), "node")
 
 
+def _sorted_turns(messages: DataFrame, paths: DataFrame) -> DataFrame:
+    """The turns of each path, a path in one partition and in order."""
+    one = messages.groupBy("node").agg(F.min(F.struct("role", "text")).alias("m")).select("node", "m.*")
+    rows = paths.join(one, "node").select("tree", "path", "depth", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.repartition("path").sortWithinPartitions("path", "depth").select("tree", "path", "role", "text")
+
+
+def formatted_parts(turns: Iterable[tuple]) -> Iterator[tuple]:
+    """(tree, path, part, formatted, loss spans) of sorted (tree, path, role, text)."""
+    key, part, text, size, loss = None, 0, [], 0, []
+    for tree, path, role, body in turns:
+        if key is not None and (key != (tree, path) or size >= PART):
+            yield *key, part, "".join(text), loss
+            part, text, size, loss = (part + 1 if key == (tree, path) else 0), [], 0, []
+        key = (tree, path)
+        head, body = f"{START}{escape_role(role)}\n", escape(body)
+        if role == TRAINED:
+            loss.append((size + len(head), size + len(head) + len(body)))
+        text += [head, body, END, "\n"]
+        size += len(head) + len(body) + len(END) + 1
+    if key is not None:
+        yield *key, part, "".join(text), loss
+
+
+def digests(parts: Iterable[tuple]) -> Iterator[tuple]:
+    """(tree, path, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) of conversations' parts in order."""
+    key, n, turns, loss_n, loss, chars = None, 0, None, 0, None, 0
+    for tree, path, _, text, spans in parts:
+        if key != (tree, path):
+            if key is not None:
+                yield *key, n, turns.hexdigest(), loss_n, loss.hexdigest(), chars
+            key, n, turns, loss_n, loss, chars = (tree, path), 0, hashlib.sha256(), 0, hashlib.sha256(), 0
+        chars += len(text)
+        at = 0
+        for m in _TURN.finditer(text):
+            if m.start() != at:
+                raise ValueError(f"text between turns in conversation {tree}")
+            at = m.end()
+            n += 1
+            turns.update(f"{unescape_role(m[1])}\n{unescape(m[2])}\n".encode("utf-8", "surrogatepass"))
+        if at != len(text):
+            raise ValueError(f"an unfinished turn in conversation {tree}")
+        for start, end in spans:
+            shown = unescape(text[start:end])
+            loss_n += len(shown)
+            loss.update(shown.encode("utf-8", "surrogatepass"))
+    if key is not None:
+        yield *key, n, turns.hexdigest(), loss_n, loss.hexdigest(), chars
+
+
+def _rows(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            yield from zip(*(batch.column(c).slice(at, 256).to_pylist() for c in columns), strict=True)
+
+
+def _batches(rows: Iterable[tuple], schema: pa.Schema, weight: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Record batches of up to 512 rows, fewer where the texts in column ``weight`` fill a part."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[weight]) if weight is not None else 0
+        if len(held) >= 512 or size >= PART:
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in held], f.type) for k, f in enumerate(schema)], schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in held], f.type) for k, f in enumerate(schema)], schema=schema)
+
+
+def _schemas(messages: DataFrame) -> tuple[str, str]:
+    tree = messages.schema["tree"].dataType.simpleString()
+    return (
+        f"tree {tree}, path long, part int, formatted string, loss array<struct<start:int,end:int>>",
+        f"tree {tree}, path long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
+    )
+
+
+def _arrow(schema: str) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    return to_arrow_schema(_parse_datatype_string(schema))
+
+
 def format_paths(messages: DataFrame, paths: DataFrame) -> DataFrame:
     """``tree, path, part, formatted, loss``: conversations in parts; ``loss`` are spans of code points in the part.
 
     Rows of a path lie in one partition, sorted by part.
     """
-    one = messages.groupBy("node").agg(F.min(F.struct("role", "text")).alias("m")).select("node", "m.*")
-    rows = paths.join(one, "node").select("tree", "path", "depth", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt = rows.repartition("path").sortWithinPartitions("path", "depth")
-    tree = messages.schema["tree"].dataType.simpleString()
-    schema = f"tree {tree}, path long, part int, formatted string, loss array<struct<start:int,end:int>>"
+    schema = _schemas(messages)[0]
+    arrow = _arrow(schema)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, part, text, size, loss = None, 0, [], 0, []
-
-        def done() -> pa.RecordBatch:
-            spans = pa.array([[{"start": a, "end": b} for a, b in loss]], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
-            return pa.RecordBatch.from_arrays([pa.array([key[0]], tree_type), pa.array([key[1]], pa.int64()), pa.array([part], pa.int32()), pa.array(["".join(text)]), spans], names=["tree", "path", "part", "formatted", "loss"])
-
-        tree_type = None
-        for batch in batches:
-            tree_type = batch.column("tree").type
-            for t, path, role, body in zip(*(batch.column(c).to_pylist() for c in ("tree", "path", "role", "text")), strict=True):
-                if key is not None and (key != (t, path) or size >= PART):
-                    yield done()
-                    part, text, size, loss = (part + 1 if key == (t, path) else 0), [], 0, []
-                key = (t, path)
-                head, body = f"{START}{escape_role(role)}\n", escape(body)
-                if role == TRAINED:
-                    loss.append((size + len(head), size + len(head) + len(body)))
-                text += [head, body, END, "\n"]
-                size += len(head) + len(body) + len(END) + 1
-        if key is not None:
-            yield done()
-
-    return dealt.mapInArrow(over, schema)
-
-
-def read_back(parts: DataFrame) -> DataFrame:
-    """What the formatted conversations say: turns, characters and digests, from their parts in order.
+        parts = formatted_parts(_rows(batches, ("tree", "path", "role", "text")))
+        shaped = ((t, p, k, f, [{"start": a, "end": b} for a, b in loss]) for t, p, k, f, loss in parts)
+        return _batches(shaped, arrow, 3)
+
+    return _sorted_turns(messages, paths).mapInArrow(over, schema)
+
+
+def read_back(messages: DataFrame, paths: DataFrame) -> DataFrame:
+    """What the formatted conversations say, parsed again from their parts as these are made.
 
     ``tree, path, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``.
     """
-    tree = parts.schema["tree"].dataType.simpleString()
+    schema = _schemas(messages)[1]
+    arrow = _arrow(schema)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, state, tree_type = None, None, None
-
-        def fresh() -> dict:
-            return {"n": 0, "turns": hashlib.sha256(), "loss_n": 0, "loss": hashlib.sha256(), "chars": 0}
-
-        def done() -> pa.RecordBatch:
-            values = [(key[0], tree_type), (key[1], pa.int64()), (state["n"], pa.int64()), (state["turns"].hexdigest(), pa.string()), (state["loss_n"], pa.int64()), (state["loss"].hexdigest(), pa.string()), (state["chars"], pa.int64())]
-            names = ["tree", "path", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in values], names=names)
-
-        for batch in batches:
-            tree_type = batch.column("tree").type
-            for t, path, text, loss in zip(*(batch.column(c).to_pylist() for c in ("tree", "path", "formatted", "loss")), strict=True):
-                if key != (t, path):
-                    if key is not None:
-                        yield done()
-                    key, state = (t, path), fresh()
-                state["chars"] += len(text)
-                at = 0
-                for m in _TURN.finditer(text):
-                    if m.start() != at:
-                        raise ValueError(f"text between turns in conversation {t}")
-                    at = m.end()
-                    state["n"] += 1
-                    state["turns"].update(f"{unescape_role(m[1])}\n{unescape(m[2])}\n".encode("utf-8", "surrogatepass"))
-                if at != len(text):
-                    raise ValueError(f"an unfinished turn in conversation {t}")
-                for span in loss:
-                    shown = unescape(text[span["start"] : span["end"]])
-                    state["loss_n"] += len(shown)
-                    state["loss"].update(shown.encode("utf-8", "surrogatepass"))
-        if key is not None:
-            yield done()
-
-    return parts.mapInArrow(over, f"tree {tree}, path long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+        return _batches(digests(formatted_parts(_rows(batches, ("tree", "path", "role", "text")))), arrow)
+
+    return _sorted_turns(messages, paths).mapInArrow(over, schema)

@@ -38,8 +38,7 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     hostile = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HOSTILE).alias("text"))
     messages = chat.from_turns(turns.unionByName(hostile))
-    parts = chat.format_paths(messages, chat.best_paths(messages))
-    return chat.read_back(parts).drop("path").withColumnRenamed("tree", "conv_id")
+    return chat.read_back(messages, chat.best_paths(messages)).drop("path").withColumnRenamed("tree", "conv_id")
 
 
 #: A document is kept where its quality score reaches this.
