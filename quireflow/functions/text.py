@@ -37,6 +37,17 @@ def cjk_ratio(text: Column) -> Column:
     return F.when(F.length(s) > 0, F.regexp_count(s, F.lit(f"[{V.HAN}]")) / F.length(s)).otherwise(F.lit(0.0))
 
 
+def settled(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with ``columns`` computed at this point of the plan.
+
+    The optimiser moves filters below projections by putting each column's expression in its place. In
+    a chain of steps that each use the one before several times, that grows exponentially and computes
+    everything twice; filters don't move below a generator.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    return df.select(*rest, F.inline(F.array(F.struct(*columns))))
+
+
 def head_before(text: Column, pattern: str) -> Column:
     """What stands before the first match of a pattern; empty without one. Its length is in code points."""
     return F.regexp_extract(text, rf"(?s)^(.*?)(?:{pattern})", 1)
@@ -86,7 +97,7 @@ def with_promo_cut(df: DataFrame, col: str) -> DataFrame:
     df = df.withColumns({cut: F.col(cut) | listed, s: F.when(listed, first).otherwise(F.col(s))})
     df = truncate(df, V.PRESS, V.HEAD_STRIP)
     df = truncate(df, V.JUNK, " ")
-    return df.withColumns({col: squash(F.col(s)), "cut": F.col(cut)}).drop(s, cut)
+    return settled(df.withColumns({col: squash(F.col(s)), "cut": F.col(cut)}).drop(s, cut), [col, "cut"])
 
 
 def with_clean_title(df: DataFrame, raw: str) -> DataFrame:
@@ -101,7 +112,8 @@ def with_clean_title(df: DataFrame, raw: str) -> DataFrame:
     tail = F.btrim(F.regexp_replace(t, rf"{V.S}+(?:{V.any_of(V.TAIL_ROLES)})$", ""), F.lit(V.TITLE_STRIP))
     df = df.withColumn("title", squash(F.regexp_replace(tail, rf"^[—\-–]+{V.S}*", "")))
     low = (F.length("title") == 0) | (F.length("title") > 40) | F.col("title").rlike(f"{V.PROMO}|{V.JUNK}")
-    return df.withColumn("confidence", F.when(low, 0.3).when(F.col("cut"), 0.6).otherwise(1.0)).drop(t, "cut")
+    df = df.withColumn("confidence", F.when(low, 0.3).when(F.col("cut"), 0.6).otherwise(1.0)).drop(t, "cut")
+    return settled(df, ["title", "edition", "volume", "confidence"])
 
 
 def title_key(title: Column) -> Column:

@@ -56,25 +56,26 @@ def per_group_limit(rows: DataFrame, keys: list[str], order: list, most: int) ->
     return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("__r") <= most).drop("__r")
 
 
+_VERSIONS = "number long, version string"
+
+
+def _current(spark: SparkSession, folder: str):
+    """The newest (number, version), or None."""
+    path = f"{folder}/versions"
+    return spark.read.schema(_VERSIONS).parquet(path).orderBy(F.desc("number")).first() if exists(spark, path) else None
+
+
 def replace_tables(tables: dict[str, DataFrame], folder: str) -> str:
-    """Write all tables as one new version, then point to it; a crash in between leaves the old version whole."""
+    """Write all tables as one new version, then name it the newest; a crash in between leaves the old one whole."""
     spark = next(iter(tables.values())).sparkSession
-    version = uuid.uuid4().hex
+    version, last = uuid.uuid4().hex, _current(spark, folder)
     for name, rows in tables.items():
         rows.write.parquet(f"{folder}/{version}/{name}")
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("append").parquet(f"{folder}/_versions/{version}")
-    jvm = spark.sparkContext._jvm
-    path = lambda p: jvm.org.apache.hadoop.fs.Path(f"{folder}/{p}")
-    fs = path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = fs.create(path(f"_current.{version}"), True)
-    stream.write(bytearray(version.encode()))
-    stream.close()
-    fs.delete(path("_current"), False)
-    fs.rename(path(f"_current.{version}"), path("_current"))
+    number = last["number"] + 1 if last else 1
+    spark.createDataFrame([(number, version)], _VERSIONS).coalesce(1).write.mode("append").parquet(f"{folder}/versions")
     return version
 
 
 def read_version(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of the current version."""
-    current = spark.read.text(f"{folder}/_current").first()[0]
-    return spark.read.parquet(f"{folder}/{current}/{name}")
+    """A table of the newest version."""
+    return spark.read.parquet(f"{folder}/{_current(spark, folder)['version']}/{name}")

@@ -9,6 +9,7 @@ from ..functions import quality as Q
 from ..functions import text as T
 from . import lexicon as L
 from .components import components
+from .storage import cut
 
 #: Alternative titles listed for a book.
 ALIASES = 8
@@ -48,13 +49,15 @@ def clusters(cands: DataFrame) -> DataFrame:
     """``cands`` with ``cluster``: the smallest key reachable over equal keys and equal ISBNs.
 
     Equal keys are one node from the start; only distinct (key, ISBN) pairs whose ISBN has several
-    keys become links, to that ISBN's smallest key.
+    keys become links, to that ISBN's smallest key. Candidates and result are kept, as books and
+    members read them several times.
     """
+    cands = cut(cands)
     pairs = cands.where(F.col("isbn") != "").select("key", "isbn").distinct()
     lowest = pairs.groupBy("isbn").agg(F.min("key").alias("low"))
     links = pairs.join(lowest, "isbn").where("key <> low").select(F.col("key").alias("a"), F.col("low").alias("b"))
     roots = components(links).select(F.col("node").alias("key"), F.col("root").alias("cluster"))
-    return cands.join(roots, "key", "left").withColumn("cluster", F.coalesce("cluster", "key"))
+    return cut(cands.join(roots, "key", "left").withColumn("cluster", F.coalesce("cluster", "key")))
 
 
 def survivors(clustered: DataFrame) -> DataFrame:
@@ -110,8 +113,6 @@ def members(clustered: DataFrame) -> DataFrame:
 
 def numbered(books: DataFrame) -> DataFrame:
     """``id, book_no``: books numbered from 1 in the order of their first row, over a range partitioning."""
-    from .storage import cut
-
     dealt = cut(books.select("id").repartitionByRange("id").sortWithinPartitions("id").withColumn("part", F.spark_partition_id()))
     total, before = 0, []
     for part, n in sorted((r[0], r[1]) for r in dealt.groupBy("part").count().collect()):  # one row for each partition

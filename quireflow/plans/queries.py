@@ -36,12 +36,11 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates with their cluster, kept, as every table of books reads them several times."""
-    return R.clusters(storage.cut(R.candidates(records(spark, sf_dir))))
+    return R.clusters(R.candidates(records(spark, sf_dir)))
 
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.canonical_books(storage.cut(clustered(spark, sf_dir)))
+    return R.canonical_books(clustered(spark, sf_dir))
 
 
 def of_title(name: str, **columns) -> Query:
@@ -153,7 +152,7 @@ def canonical_books(spark, sf_dir):
 
 @query
 def members(spark, sf_dir):
-    return R.members(storage.cut(clustered(spark, sf_dir)))
+    return R.members(clustered(spark, sf_dir))
 
 
 @query
@@ -163,7 +162,7 @@ def book_numbers(spark, sf_dir):
 
 @query
 def lineage(spark, sf_dir):
-    rows = storage.cut(clustered(spark, sf_dir))
+    rows = clustered(spark, sf_dir)
     return R.lineage(R.canonical_books(rows), R.members(rows), adapter.raw(spark, sf_dir)).select("book_id", "raw_id", "title", "source")
 
 
