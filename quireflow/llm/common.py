@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.storage import cut, scratch_path, shared_dir  # noqa: F401
+
 #: Texts are handled in runs of about this many bytes, so that a task's memory doesn't follow its partition.
 RUN_BYTES = 1 << 20
 
@@ -19,29 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; where that is unset (tests), a folder of our own."""
-    sc = spark.sparkContext
-    where = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = f"file://{tempfile.mkdtemp(prefix='quireflow-')}"
-        spark.conf.set("spark.checkpoint.dir", where)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(where)
-    return where
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, so a lost executor costs no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def scratch_path(spark: SparkSession, what: str) -> str:
-    """A new folder name in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/quireflow/{what}-{uuid.uuid4().hex}"
-
-
 def runs(batch: pa.RecordBatch, column: str, limit: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts hold about ``limit`` bytes; a longer text is a slice of its own."""
     if not batch.num_rows:
@@ -123,7 +100,7 @@ def words_of(data: np.ndarray, doc_starts: np.ndarray, lower: bool = True, space
     last[:-1] &= ~solid[1:]
     last[inner - 1] = solid[inner - 1]
     ends = np.flatnonzero(last) + 1
-    place = np.arange(len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
+    place = np.arange(len(data)) - np.repeat(np.append(0, starts), np.diff(np.concatenate([[0], starts, [len(data)]])))
     value = (_LOWER[data] if lower else data).astype(np.uint64) + np.uint64(1)
     value *= _SEEDS[place & 0xFFF] + (place >> 12).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C16)
     value[~solid] = 0

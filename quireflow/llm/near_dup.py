@@ -33,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from . import common
 from .common import cut
-from .components import components
 
 #: MinHash values in each of the two collections; bins of the sketch; classes in a block of a bucket.
 M, BINS, BLOCK = 7, 256, 4096

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.storage import exists
 from . import common
 
 _CACHE = "content binary, tokenizer string, n_tokens long"
@@ -61,14 +62,10 @@ def content_digest(text: Column) -> Column:
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     """The cache table, or an empty one where none was written yet."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
-        return spark.read.schema(_CACHE).parquet(path)
-    return spark.createDataFrame([], _CACHE)
+    return spark.read.schema(_CACHE).parquet(path) if exists(spark, path) else spark.createDataFrame([], _CACHE)
 
 
-def fill_cache(texts: DataFrame, cache_path: str, tokenizer_path: str) -> int | None:
+def fill_cache(texts: DataFrame, cache_path: str, tokenizer_path: str) -> None:
     """Encode the distinct texts (columns content, text) that the cache lacks and append their counts."""
     spark = texts.sparkSession
     version = tokenizer_digest(tokenizer_path)
