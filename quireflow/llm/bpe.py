@@ -32,7 +32,7 @@ from . import common
 #: Words of more parts than this are merged with a heap.
 LONG = 128
 #: Words kept with their ids in a worker process.
-KEEP = 400_000
+KEEP = 200_000
 #: Longer words are not kept.
 KEEP_CHARS = 64
 
