@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -104,11 +104,14 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def classes_of(rows: DataFrame, k: int) -> DataFrame:
-    """``cls, v, ids``: the distinct vectors and the k + 1 smallest ids of each; combined before the shuffle."""
-    key = F.sha2("v", 256)
-    # a class's ids are first cut down in salted groups, so that a very common vector leaves no large group
-    salted = rows.groupBy(key.alias("cls"), F.pmod(F.xxhash64("vec_id"), F.lit(64)).alias("salt")).agg(F.first("v").alias("v"), F.slice(F.array_sort(F.collect_set("vec_id")), 1, k + 1).alias("ids"))
-    return salted.groupBy("cls").agg(F.first("v").alias("v"), F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1).alias("ids"))
+    """``cls, v, ids``: the distinct vectors and the k + 1 smallest ids of each.
+
+    Each task keeps the k + 1 smallest ids of a vector before the shuffle, so a very common vector
+    leaves no large group.
+    """
+    one = rows.groupBy(F.sha2("v", 256).alias("cls"), "vec_id").agg(F.first("v").alias("v"))
+    few = one.withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy("vec_id"))).where(F.col("r") <= k + 1)
+    return few.groupBy("cls").agg(F.first("v").alias("v"), F.array_sort(F.collect_list("vec_id")).alias("ids"))
 
 
 def ranked(classes: DataFrame, number: int) -> DataFrame:
@@ -148,8 +151,6 @@ def window_for(curves: list[DataFrame], classes: DataFrame, n: int, k: int) -> i
                     top = [j for j in np.argsort(-scores[q], kind="stable")[: k + 1] if some["cls"].iloc[j] != names[q]]
                     yield pd.DataFrame({"q": q, "cls": some["cls"].iloc[top].to_numpy(), "score": scores[q][top]})
 
-    from pyspark.sql import Window
-
     best = classes.select("cls", "v").mapInPandas(over, "q int, cls string, score double")
     best = cut(best.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "cls"))).where(F.col("r") <= k).select("q", "cls"))
     gap = None
@@ -166,8 +167,6 @@ def window_for(curves: list[DataFrame], classes: DataFrame, n: int, k: int) -> i
 
 def nearest(rows: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest of every row whose id meets ``queries`` (on column vec_id)."""
-    from pyspark.sql import Window
-
     base = cut(usable(rows, id_col, vector_col))
     classes = cut(classes_of(base, k))
     asking = cut(base.where(queries).groupBy("vec_id").agg(F.min("v").alias("v")).select(F.sha2("v", 256).alias("cls"), F.col("vec_id").alias("query_id")))

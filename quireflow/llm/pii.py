@@ -195,11 +195,21 @@ class Trees:
 
         return functools.reduce(lambda a, b: a + b, [node(t) for t in self.trees], F.lit(self.start))
 
-    def margin(self, row: np.ndarray) -> float:
-        def node(t):
-            return t if isinstance(t, float) else node(t[2] if row[t[0]] <= t[1] else t[3])
+    def margins(self, x: np.ndarray) -> np.ndarray:
+        """The sums of all rows of a feature matrix."""
 
-        return self.start + sum(node(t) for t in self.trees)
+        def node(t, rows: np.ndarray, out: np.ndarray) -> None:
+            if isinstance(t, float):
+                out[rows] += t
+            else:
+                low = x[rows, t[0]] <= t[1]
+                node(t[2], rows[low], out)
+                node(t[3], rows[~low], out)
+
+        out = np.full(len(x), self.start)
+        for t in self.trees:
+            node(t, np.arange(len(x)), out)
+        return out
 
 
 def grow(x: np.ndarray, gradient: np.ndarray, curve: np.ndarray, depth: int):
@@ -229,8 +239,7 @@ def boost(x: np.ndarray, y: np.ndarray) -> Trees:
         p = 1 / (1 + np.exp(-margin))
         tree = grow(x[fit], (p - y)[fit], (p * (1 - p))[fit], DEPTH)
         trees.append(tree)
-        one = Trees(0.0, (tree,), 0.0)
-        margin += np.array([one.margin(r) for r in x])
+        margin += Trees(0.0, (tree,), 0.0).margins(x)
     held, truth = margin[~fit], y[~fit]
     threshold = min((float(t) for t in np.unique(held) if truth[held >= t].mean() >= PRECISION and t >= 0), default=float(held.max()))
     return Trees(start, tuple(trees), threshold - 1e-9)
