@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.storage import exists
+from ..operators.storage import cut, exists
 from . import common
 
 _CACHE = "content binary, tokenizer string, n_tokens long"
@@ -86,6 +86,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     cache_path = cache_path or common.scratch_path(spark, "token-cache")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     fill_cache(rows.select(content_digest(F.col("text")).alias("content"), "text"), cache_path, tokenizer_path)
-    counts = read_cache(spark, cache_path).where(F.col("tokenizer") == tokenizer_digest(tokenizer_path)).dropDuplicates(["content"])
+    # kept, so that the join below deals out plain rows, which the engine can split where one text has many of them
+    counts = cut(read_cache(spark, cache_path).where(F.col("tokenizer") == tokenizer_digest(tokenizer_path)).groupBy("content").agg(F.max("n_tokens").alias("n_tokens")))
     keyed = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), content_digest(F.col("text")).alias("content"))
     return keyed.join(counts, "content").select(F.col("doc_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
