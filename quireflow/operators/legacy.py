@@ -72,6 +72,13 @@ def clean_and_deduplicate(rows: DataFrame, compose: bool = True) -> DataFrame:
     return remove_duplicates(clean_books(rows, compose))
 
 
+def new_books(batch: DataFrame, known: DataFrame | None, compose: bool = True) -> DataFrame:
+    """What an incremental insert adds: cleaned rows with title and author, the first of each pair that ``known`` lacks."""
+    from .ingest import new_rows
+
+    return new_rows(clean_books(batch, compose), known, keys=("title", "author"), title=None)
+
+
 def join_authors(names: Column) -> Column:
     return F.array_join(names, ", ")
 

@@ -312,6 +312,7 @@ sims AS (SELECT tx, ty, CAST(len(list_intersect(gx, gy)) AS DOUBLE) / (len(gx) +
     "library_docs": over(RAW, "SELECT title_raw AS title, author_raw || ', ' || publisher AS author, 'openlibrary' AS source FROM raw WHERE title_raw <> ''"),
     "legacy_clean": over(_LEGACY, "SELECT id, title, author FROM cleaned"),
     "legacy_dedup": over(_LEGACY, "SELECT id, title, author, source, md5(lower(trim(title)) || '_' || lower(trim(author))) AS key FROM cleaned WHERE title <> '' AND author <> '' QUALIFY row_number() OVER (PARTITION BY key ORDER BY id) = 1"),
+    "legacy_insert": over(_LEGACY, "SELECT id, title, author, source FROM cleaned WHERE title <> '' AND author <> '' AND (title, author) NOT IN (SELECT (title, author) FROM cleaned WHERE source IN ('douban', 'weread')) QUALIFY row_number() OVER (PARTITION BY title, author ORDER BY id) = 1"),
     "legacy_country": over(RAW, f"SELECT id, {sub('author_raw', rf'^{V.S}*\[.*?\]{V.S}*', '', False)} AS author FROM raw"),
     "union_distinct": over(RAW, "SELECT min(title_raw) AS title, arg_min(author_raw, (title_raw, author_raw)) AS author FROM raw WHERE source IN ('douban', 'weread') GROUP BY lower(trim(title_raw)), lower(trim(author_raw))"),
     "document_dedup": "SELECT md5(coalesce(text, '')) AS digest, min(doc_id) AS doc_id, count(*) AS n FROM documents GROUP BY 1",

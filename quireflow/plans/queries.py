@@ -443,6 +443,13 @@ def legacy_dedup(spark, sf_dir):
     return legacy.clean_and_deduplicate(legacy_rows(spark, sf_dir))
 
 
+@query
+def legacy_insert(spark, sf_dir):
+    """What all rows add to a table that holds those of two sources."""
+    rows = legacy_rows(spark, sf_dir)
+    return legacy.new_books(rows, legacy.new_books(rows.where(F.col("source").isin("douban", "weread")), None))
+
+
 @query
 def legacy_country(spark, sf_dir):
     return legacy_rows(spark, sf_dir).select("id", legacy.drop_country(F.col("author")).alias("author"))
