@@ -59,3 +59,8 @@ def markdown(raw: DataFrame, books: DataFrame) -> str:
     lines += table(["decade", "books"], [(r["decade"], f"{r['n']:,}") for r in decade_histogram(books).collect()])
     lines += table(["initial", "books"], [(r["initial"], f"{r['n']:,}") for r in top_initials(books).collect()])
     return "\n".join(lines)
+
+
+def write_markdown(raw: DataFrame, books: DataFrame, path: str) -> None:
+    """The report as a text file in a folder, in any store that the engine writes."""
+    raw.sparkSession.createDataFrame([(markdown(raw, books),)], "value string").coalesce(1).write.mode("overwrite").text(path)

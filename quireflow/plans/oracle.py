@@ -294,6 +294,11 @@ sims AS (SELECT tx, ty, CAST(len(list_intersect(gx, gy)) AS DOUBLE) / (len(gx) +
     "stream_ingest": "SELECT DISTINCT event_type AS source, CAST(user_id AS VARCHAR) AS source_id FROM events",
     "split_pub": over(f"{RAW}, p AS (SELECT id, {_PUB} AS ps FROM raw)", f"SELECT id, coalesce(ps[1], '') AS author, {_PUB_PRESS} AS press, {_PUB_YEAR} AS year FROM p"),
     "html_items": over(RAW, f"SELECT CAST(id AS VARCHAR) AS source_id, {ends('title_raw')} AS title_raw, author_raw, publisher, CASE WHEN pub_year = '' THEN '' ELSE substr(pub_year, 1, 4) END AS pub_year, CAST(id // 60 AS VARCHAR) AS category, 'https://product.dangdang.com/' || CAST(id AS VARCHAR) || '.html' AS url FROM raw WHERE {ends('title_raw')} <> ''"),
+    "union_sources": over(
+        RAW,
+        f"SELECT source, CAST(id AS VARCHAR) AS source_id, {ends('title_raw')} AS title_raw, author_raw, publisher, '' AS isbn FROM raw WHERE source = 'dangdang' AND {ends('title_raw')} <> '' "
+        "UNION ALL SELECT source, source_id, title_raw, author_raw, publisher, '' FROM raw WHERE source = 'weread' UNION ALL SELECT source, CASE WHEN isbn <> '' THEN isbn ELSE source_id END, title_raw, author_raw, publisher, isbn FROM raw WHERE source = 'pdc'",
+    ),
     "tag_page_items": over(
         f"{RAW}, p AS (SELECT *, list_filter(list_transform(string_split(trim({sub(TAG_LINE, V.S + '+', ' ')}), '/'), lambda p: {ends('p')}), lambda p: p <> '') AS ps FROM raw)",
         f"SELECT CAST(id AS VARCHAR) AS source_id, trim(title_raw) AS title_raw, coalesce(ps[1], '') AS author_raw, {_PUB_PRESS} AS publisher, {_PUB_YEAR} AS pub_year, 'https://book.example.com/subject/' || CAST(id AS VARCHAR) || '/' AS url FROM p WHERE trim(title_raw) <> ''",

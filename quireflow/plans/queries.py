@@ -12,7 +12,7 @@ from ..functions import text as T
 from ..operators import ingest, legacy, near_titles, report, storage
 from ..operators import lexicon as L
 from ..operators import resolve as R
-from ..sources import files, html, json
+from ..sources import files, html, json, registry
 from ..sources import raw as raw_source
 from ..streaming import ingest as streams
 from . import adapter, frontier
@@ -302,12 +302,39 @@ def split_pub(spark, sf_dir):
     return adapter.raw(spark, sf_dir).select("id", author.alias("author"), press.alias("press"), year.alias("year"))
 
 
+def shop_pages(rows: DataFrame) -> DataFrame:
+    """Shop list pages that show raw rows, sixty ids a page."""
+    li = F.concat(F.lit('<li class="line" id="p'), "id", F.lit('"><a title="'), "title_raw", F.lit("\" href='x'>x</a><p><a dd_name='itemlist-author' title='"), "author_raw", F.lit("'>a</a></p><a name='P_cbs' title='"), "publisher", F.lit("'>p</a><span> /"), F.coalesce(F.nullif("pub_year", F.lit("")), F.lit("x")), F.lit("-01</span></li>"))
+    pages = rows.groupBy(F.floor(F.col("id") / 60).alias("page")).agg(F.concat(F.lit("<ul>"), F.array_join(F.array_sort(F.collect_list(li)), "\n"), F.lit("</ul>")).alias("html"))
+    return pages.withColumn("category", F.col("page").cast("string"))
+
+
+def json_pages(rows: DataFrame) -> DataFrame:
+    """JSON list pages that show raw rows, twenty ids a page."""
+    info = F.struct(F.struct(F.col("source_id").alias("bookId"), F.col("title_raw").alias("title"), F.col("author_raw").alias("author"), "publisher", F.concat("pub_year", F.lit("-01 00:00")).alias("publishTime"), "category", F.col("url").alias("deepLink")).alias("bookInfo"))
+    return rows.groupBy(F.floor(F.col("id") / 20).alias("page")).agg(F.to_json(F.struct(F.collect_list(info).alias("books"))).alias("json"))
+
+
+def catalogue_pages(rows: DataFrame) -> DataFrame:
+    """A catalogue's result pages that show raw rows; odd pages have the older layout."""
+    item = F.struct(F.when(F.col("id") % 3 > 0, F.col("title_raw")).alias("bookName"), F.col("title_raw").alias("firstbookname"), "isbn", F.col("source_id").alias("id"), F.col("author_raw").alias("author"), "publisher", F.col("pub_year").alias("publishDate"), F.col("category").alias("cate1"))
+    pages = rows.groupBy(F.floor(F.col("id") / 20).alias("page")).agg(F.collect_list(item).alias("l"))
+    return pages.select(F.when(F.col("page") % 2 == 0, F.to_json(F.struct(F.struct(F.col("l").alias("list")).alias("data")))).otherwise(F.to_json(F.struct(F.col("l").alias("list")))).alias("json"))
+
+
 @query
 def html_items(spark, sf_dir):
     """Shop pages made of raw rows, read back."""
-    li = F.concat(F.lit('<li class="line" id="p'), "id", F.lit('"><a title="'), "title_raw", F.lit("\" href='x'>x</a><p><a dd_name='itemlist-author' title='"), "author_raw", F.lit("'>a</a></p><a name='P_cbs' title='"), "publisher", F.lit("'>p</a><span> /"), F.coalesce(F.nullif("pub_year", F.lit("")), F.lit("x")), F.lit("-01</span></li>"))
-    pages = adapter.raw(spark, sf_dir).groupBy(F.floor(F.col("id") / 60).alias("page")).agg(F.concat(F.lit("<ul>"), F.array_join(F.array_sort(F.collect_list(li)), "\n"), F.lit("</ul>")).alias("html"))
-    return html.shop_items(pages.withColumn("category", F.col("page").cast("string"))).select("source_id", "title_raw", "author_raw", "publisher", "pub_year", "category", "url")
+    return html.shop_items(shop_pages(adapter.raw(spark, sf_dir))).select("source_id", "title_raw", "author_raw", "publisher", "pub_year", "category", "url")
+
+
+@query
+def union_sources(spark, sf_dir):
+    """The pages of three sources, each in its own format, as one listing."""
+    rows = adapter.raw(spark, sf_dir)
+    of = lambda source: rows.where(F.col("source") == source)
+    pages = {"dangdang": shop_pages(of("dangdang")), "weread": json_pages(of("weread")), "pdc": catalogue_pages(of("pdc"))}
+    return registry.listings(pages).select("source", "source_id", "title_raw", "author_raw", "publisher", "isbn")
 
 
 @query
@@ -321,18 +348,13 @@ def tag_page_items(spark, sf_dir):
 @query
 def json_items(spark, sf_dir):
     """JSON list pages made of raw rows, read back."""
-    info = F.struct(F.struct(F.col("source_id").alias("bookId"), F.col("title_raw").alias("title"), F.col("author_raw").alias("author"), "publisher", F.concat("pub_year", F.lit("-01 00:00")).alias("publishTime"), "category", F.col("url").alias("deepLink")).alias("bookInfo"))
-    pages = adapter.raw(spark, sf_dir).groupBy(F.floor(F.col("id") / 20).alias("page")).agg(F.to_json(F.struct(F.collect_list(info).alias("books"))).alias("json"))
-    return json.page_items(pages).select("source_id", "title_raw", "author_raw", "publisher", "pub_year", "category", "url")
+    return json.page_items(json_pages(adapter.raw(spark, sf_dir))).select("source_id", "title_raw", "author_raw", "publisher", "pub_year", "category", "url")
 
 
 @query
 def catalogue_items(spark, sf_dir):
-    """A catalogue's result pages made of raw rows, read back; odd pages have the older layout."""
-    item = F.struct(F.when(F.col("id") % 3 > 0, F.col("title_raw")).alias("bookName"), F.col("title_raw").alias("firstbookname"), "isbn", F.col("source_id").alias("id"), F.col("author_raw").alias("author"), "publisher", F.col("pub_year").alias("publishDate"), F.col("category").alias("cate1"))
-    pages = adapter.raw(spark, sf_dir).groupBy(F.floor(F.col("id") / 20).alias("page")).agg(F.collect_list(item).alias("l"))
-    made = pages.select(F.when(F.col("page") % 2 == 0, F.to_json(F.struct(F.struct(F.col("l").alias("list")).alias("data")))).otherwise(F.to_json(F.struct(F.col("l").alias("list")))).alias("json"))
-    return json.catalogue_items(made).select("source_id", "title_raw", "author_raw", "publisher", "pub_year", "isbn", "category")
+    """A catalogue's result pages made of raw rows, read back."""
+    return json.catalogue_items(catalogue_pages(adapter.raw(spark, sf_dir))).select("source_id", "title_raw", "author_raw", "publisher", "pub_year", "isbn", "category")
 
 
 @query

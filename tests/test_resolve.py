@@ -128,6 +128,15 @@ def test_reports_of_nothing(spark):
     assert report.markdown(raw(spark, []), books).startswith("# Report")
 
 
+def test_report_file(spark, tmp_path):
+    rows = raw(spark, [(0, "douban", "红楼梦", "曹雪芹", ""), (1, "pdc", "《红楼梦》", "", ISBN[0])])
+    books = R.canonical_books(R.clusters(R.candidates(R.clean_records(rows))))
+    path = str(tmp_path / "report")
+    report.write_markdown(rows, books, path)
+    text = "\n".join(r[0] for r in spark.read.text(path).collect())
+    assert "| in several sources | 1 (100.0%) |" in text and "| 2000s | 1 |" in text and "| 红 | 1 |" in text
+
+
 def test_empty_year_is_not_counted(spark):
     books = spark.createDataFrame([("",), ("1996",), ("1948",), ("2029",)], "pub_year string")
     assert [tuple(r) for r in report.decade_histogram(books).collect()] == [("1990s", 1), ("2020s", 1)]
