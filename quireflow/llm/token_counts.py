@@ -89,4 +89,5 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     # kept, so that the join below deals out plain rows, which the engine can split where one text has many of them
     counts = cut(read_cache(spark, cache_path).where(F.col("tokenizer") == tokenizer_digest(tokenizer_path)).groupBy("content").agg(F.max("n_tokens").alias("n_tokens")))
     keyed = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), content_digest(F.col("text")).alias("content"))
-    return keyed.join(counts, "content").select(F.col("doc_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    # counts are one narrow row a text: hashed in each partition, nothing needs sorting
+    return keyed.join(counts.hint("shuffle_hash"), "content").select(F.col("doc_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
