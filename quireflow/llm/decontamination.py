@@ -13,7 +13,7 @@ word n-grams must stand in the passages.
 
 The index of ``SHARD`` segments at most goes to the executors at a time; a larger benchmark is searched in several passes.
 
-Edge cases: items with null text or fewer than ``MIN_WORDS`` words are not searched for, as they would match
+Edge cases: items with a null id or text or fewer than ``MIN_WORDS`` words are not searched for, as they would match
 clean text; null and empty documents match nothing; rows that repeat a document or an item id are
 merged (the best of them stands); a null document id gives rows with a null id; empty tables give no rows; other
 columns are not read.
