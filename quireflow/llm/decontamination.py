@@ -9,7 +9,9 @@ Every passage is a query for all segments at or above ``THRESHOLD``: block maxim
 its score against each block of segments, for all passages of a batch at once; the passages and
 blocks that reach the threshold are evaluated by block-max WAND. What it retrieves is verified: of the item's
 question (all but its last sentence) and of its answer (the last sentence) at least ``OVERLAP`` of the
-word n-grams must stand in the passages.
+word n-grams must stand in the passages, or the passages hold a stretch that is the whole item but for edits
+(words replaced, left out or put in) of at most ``1 - ALIGNED`` of its words: a few words in a short
+answer change most of its n-grams.
 
 The index of ``SHARD`` segments at most goes to the executors at a time; a larger benchmark is searched in several passes.
 
@@ -34,6 +36,7 @@ from . import common
 SEGMENT, BLOCK, SHARD = 64, 4, 4096
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, GRAM, MIN_WORDS = 0.6, 0.6, 4, 8
+ALIGNED = 0.85
 
 #: Bytes between words: ASCII other than letters and digits.
 BETWEEN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -56,6 +59,27 @@ def grams(words: np.ndarray) -> np.ndarray:
     return np.unique(common.shingles(words, np.zeros(len(words), np.int64), GRAM)[0])
 
 
+def aligned(item: np.ndarray, text: np.ndarray) -> float:
+    """1 less the edits, as a share of the item's words, that lead from the item to the nearest stretch of the text."""
+    at = np.arange(len(text) + 1)
+    edits = np.zeros(len(text) + 1, np.int64)  # least edits from the item's words so far to a stretch that ends there
+    for k, word in enumerate(item):
+        here = np.append(k + 1, np.minimum(edits[:-1] + (text != word), edits[1:] + 1))
+        edits = np.minimum.accumulate(here - at) + at
+    return 1 - float(edits.min()) / len(item)
+
+
+def stretches(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that meet or overlap as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 class Index:
     """Postings of segments with normalised BM25 impacts, in blocks of BLOCK segments with block maxima."""
 
@@ -171,20 +195,21 @@ def segments_of(item: int, text: str) -> list[tuple[int, np.ndarray]]:
     return [(item, part) for part in np.array_split(words, parts)]
 
 
-def shards(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[list[tuple[int, np.ndarray]], dict[int, tuple[np.ndarray, np.ndarray]]]]:
-    """Segments and the question and answer n-grams of each item, at most about SHARD segments at a time."""
+def shards(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[list[tuple[int, np.ndarray]], dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]]]:
+    """Segments and the question and answer n-grams and the words of each item, at most about SHARD segments at a time."""
     segments: list[tuple[int, np.ndarray]] = []
-    parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    parts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
     rows = benchmark.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.lower(text_col).alias("t")).orderBy("i", "t")
     for item, text in rows.toLocalIterator():
-        if len(item_words(text)) < MIN_WORDS:
+        words = item_words(text)
+        if len(words) < MIN_WORDS:
             continue
         if segments and (len(segments) >= SHARD or item in parts):  # an id that repeats goes to a shard of its own
             yield segments, parts
             segments, parts = [], {}
         question, answer = question_and_answer(text)
         segments += segments_of(item, text)
-        parts[item] = (grams(question), grams(answer))
+        parts[item] = (grams(question), grams(answer), words)
     if segments:
         yield segments, parts
 
@@ -211,8 +236,8 @@ def _search_shard(docs: DataFrame, segments, parts, threshold: float, overlap: f
         ids, out = part.column("doc_id").to_pylist(), []
         for (row, item), (score, spans) in hits.items():
             there = np.unique(np.concatenate([grams(words[a:b]) for a, b in sorted(set(spans))]))
-            shares = [float(np.isin(g, there).mean()) if len(g) >= 1 else 1.0 for g in _shortened(parts[item], words, spans, there)]
-            if min(shares) >= overlap:
+            shares = [float(np.isin(g, there).mean()) if len(g) >= 1 else 1.0 for g in _shortened(parts[item][:2], words, spans, there)]
+            if min(shares) >= overlap or any(aligned(parts[item][2], words[a:b]) >= ALIGNED - 1e-9 for a, b in stretches(spans)):
                 out.append((ids[row], item, score, *shares))
         if out:
             yield {name: [r[k] for r in out] for k, name in enumerate(("doc_id", "item_id", "score", "question_overlap", "answer_overlap"))}

@@ -82,6 +82,42 @@ def test_leaks_verify_question_and_answer(spark):
     assert got == [(0, 1), (1, 1), (4, 4), (6, 1)]
 
 
+def test_single_word_edits_at_every_place_are_found(spark):
+    """Each word of each item replaced, left out or doubled by another, amid other text."""
+    sf = f"{TESTDATA}/sf0.01"
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    items |= {-1: "Name the two rivers of the old town. Elbe.", -2: "one two three four five six seven eight"}
+    filler, rows, of = " ".join(f"x{k}" for k in range(70)), [], []
+    for item, text in items.items():
+        places = [m.span() for m in re.finditer(r"[^\W_]+", text)]
+        for a, b in places if len(places) >= D.MIN_WORDS else []:
+            for new in ("qqzz", "", f"{text[a:b]} qqzz"):
+                rows.append((len(rows), f"{filler} {text[:a]}{new}{text[b:]} {filler}"))
+                of.append(item)
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in D.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    missed = [(rows[k][1], item) for k, item in enumerate(of) if (k, item) not in got]
+    assert len(rows) > 3 * 1500 and not missed
+
+
+def test_alignment_against_edit_distance():
+    rng = random.Random(9)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j - 1] + (x != y), last[j] + 1, row[-1] + 1))
+        return row[-1]
+
+    for _ in range(200):
+        item, text = ([rng.randrange(5) for _ in range(rng.randrange(1, high))] for high in (7, 9))
+        want = min(distance(item, text[a:b]) for a in range(len(text) + 1) for b in range(a, len(text) + 1))
+        assert abs(D.aligned(np.array(item), np.array(text)) - (1 - want / len(item))) < 1e-9
+    assert D.stretches([(5, 9), (0, 3), (3, 4), (6, 7)]) == [(0, 4), (5, 9)]
+
+
 def test_shards_find_the_same(spark, monkeypatch):
     rng = random.Random(3)
     items = [(i, " ".join(f"w{rng.randrange(500)}" for _ in range(30))) for i in range(25)]
