@@ -313,6 +313,7 @@ sims AS (SELECT tx, ty, CAST(len(list_intersect(gx, gy)) AS DOUBLE) / (len(gx) +
     "fallback_categories": "SELECT unnest(['01.01.00.00.00.00', '01.03.00.00.00.00', '01.05.00.00.00.00']) AS cid",
     "page_titles": f"SELECT page_id, sha256(trim({sub('''replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '(?s)<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&amp;', '&')''', V.S + '+', ' ')})) AS heading_sha256, len(regexp_extract_all(html, '<a href=\"([^\"]*)\"')) AS links FROM pages",
     "book_pattern": "SELECT 'B' || CAST(o_orderkey AS VARCHAR) AS item, 'B' || CAST(o_orderkey AS VARCHAR) AS \"itemLabel\", c_name AS \"authorLabel\" FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey = 8 ORDER BY item, c_name LIMIT 50 OFFSET 10",
+    "book_pattern_all": "SELECT 'B' || CAST(o_orderkey AS VARCHAR) AS item, 'B' || CAST(o_orderkey AS VARCHAR) AS \"itemLabel\", c_name AS \"authorLabel\" FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey = 8",
     "qid_filter": over(RAW, "SELECT title_raw AS title, author_raw AS author, 'wikidata' AS source FROM raw WHERE id % 5 <> 0 AND title_raw <> '' AND author_raw <> ''"),
     "library_docs": over(RAW, "SELECT title_raw AS title, author_raw || ', ' || publisher AS author, 'openlibrary' AS source FROM raw WHERE title_raw <> ''"),
     "legacy_clean": over(_LEGACY, "SELECT id, title, author FROM cleaned"),

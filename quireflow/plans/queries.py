@@ -421,14 +421,25 @@ def page_titles(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.sha2(title.cast("binary"), 256).alias("heading_sha256"), F.size(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))).cast("long").alias("links"))
 
 
-@query
-def book_pattern(spark, sf_dir):
-    """Triples of orders as books, customers as authors and nations as their countries."""
+def book_triples(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Triples of orders as books, customers as authors and nations as their countries; the authors' labels."""
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     book, author = F.concat(F.lit("B"), F.col("o_orderkey").cast("string")), lambda k: F.concat(F.lit("A"), F.col(k).cast("string"))
     triples = o.select(book.alias("s"), F.lit("P31").alias("p"), F.lit("Q571").alias("o")).union(o.select(book, F.lit("P50"), author("o_custkey"))).union(c.select(author("c_custkey"), F.lit("P27"), F.concat(F.lit("Q"), F.col("c_nationkey").cast("string"))))
     labels = c.select(author("c_custkey").alias("id"), F.col("c_name").alias("label"))
-    return json.book_pattern(triples, labels, citizenship="Q8", limit=50, offset=10)
+    return triples, labels
+
+
+@query
+def book_pattern(spark, sf_dir):
+    """One page of the books by authors of a country."""
+    return json.book_pattern(*book_triples(spark, sf_dir), citizenship="Q8", limit=50, offset=10)
+
+
+@query
+def book_pattern_all(spark, sf_dir):
+    """All books by authors of a country."""
+    return json.book_pattern(*book_triples(spark, sf_dir), citizenship="Q8", limit=None)
 
 
 @query

@@ -70,11 +70,11 @@ def library_docs(results: DataFrame, col: str = "json") -> DataFrame:
     return rows.where((F.col("title") != "") & (F.col("author") != ""))
 
 
-def book_pattern(triples: DataFrame, labels: DataFrame, language: str | None = None, citizenship: str | None = None, limit: int = 10_000, offset: int = 0) -> DataFrame:
+def book_pattern(triples: DataFrame, labels: DataFrame, language: str | None = None, citizenship: str | None = None, limit: int | None = 10_000, offset: int = 0) -> DataFrame:
     """``item, itemLabel, authorLabel``: books with an author, of a language or by authors of a country.
 
     ``triples`` are (s, p, o): P31 instance of Q571, P50 author, P407 language, P27 citizenship. A page
-    of the results ordered by item and author.
+    of the results ordered by item and author; with ``limit`` None all of them, in no order.
     """
     edge = lambda p: triples.where(F.col("p") == p)
     items = edge("P31").where(F.col("o") == "Q571").select(F.col("s").alias("item"))
@@ -86,4 +86,4 @@ def book_pattern(triples: DataFrame, labels: DataFrame, language: str | None = N
     name = lambda c: labels.select(F.col("id").alias(c), F.col("label").alias(f"{c}Label"))
     rows = rows.join(name("item"), "item", "left").join(name("author"), "author", "left")
     shown = rows.select("item", F.coalesce("itemLabel", "item").alias("itemLabel"), F.coalesce("authorLabel", "author").alias("authorLabel"))
-    return shown.orderBy("item", "authorLabel").offset(offset).limit(limit)
+    return shown if limit is None else shown.orderBy("item", "authorLabel").offset(offset).limit(limit)

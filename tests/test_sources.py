@@ -169,3 +169,13 @@ def test_watermarked_keys(spark, tmp_path):
     rows = streams.stream(spark, folder, "k string, ts timestamp")
     streams.ingest(streams.first_writes(rows, ["k"], "ts"), str(tmp_path / "out"), str(tmp_path / "check"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_book_pattern_gives_all_matches_or_its_pages(spark):
+    books = [f"B{k:02}" for k in range(23)]
+    triples = spark.createDataFrame([(b, "P31", "Q571") for b in books] + [(b, "P50", "A1") for b in books] + [("A1", "P27", "Q8"), ("X", "P31", "Q571"), ("X", "P50", "A2")], "s string, p string, o string")
+    labels = spark.createDataFrame([("A1", "one")], "id string, label string")
+    got = [r["item"] for r in json.book_pattern(triples, labels, citizenship="Q8", limit=None).collect()]
+    assert sorted(got) == books
+    pages = [[r["item"] for r in json.book_pattern(triples, labels, citizenship="Q8", limit=10, offset=at).collect()] for at in (0, 10, 20)]
+    assert [len(p) for p in pages] == [10, 10, 3] and sum(pages, []) == books
