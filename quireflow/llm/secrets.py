@@ -2,8 +2,9 @@
 
 Base findings come from three patterns. Every other token that could be a secret (long runs of key
 characters with a digit or mixed case, key blocks, dotted tokens, passwords in addresses) is a
-candidate; the network reads the candidate and the text before it and gives a calibrated probability.
-The threshold is the largest that keeps ``RECALL`` of the secrets in a validation set. Findings of
+candidate; the network reads the candidate and some text before and after it, in overlapping windows from
+its start to its end, and gives a calibrated probability; the largest of its windows is the candidate's.
+The threshold is the largest that keeps ``RECALL`` of the windows on secrets in a validation set. Findings of
 the network are added where they overlap no base finding; base findings always stay.
 
 The network is numpy only and trained here, on labelled lines made by a fixed rule and seed
@@ -41,8 +42,9 @@ _TOKEN = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----")
 _URL = re.compile(r"(?<=://)[A-Za-z0-9._~-]{1,64}:[A-Za-z0-9._~!$&*+%-]{6,}(?=@)")
 
-#: Characters before and in a candidate that the network reads; lines it is trained and calibrated on.
-BEFORE, INSIDE = 20, 44
+#: Characters that a window holds before its start and from it on, of these after the candidate at most, and from
+#: one window's start to the next; lines the network is trained and calibrated on.
+BEFORE, INSIDE, AFTER, STEP = 20, 44, 8, 22
 TRAIN, FILTERS, WIDTH, EPOCHS = 4000, 24, 5, 6
 RECALL = 0.97
 _V = 98  # printable ASCII, line end, other, and padding
@@ -82,11 +84,16 @@ _CODES[32:127] = np.arange(95)
 _CODES[10] = 95
 
 
+def window_starts(start: int, end: int) -> range:
+    """Starts of the windows over a candidate; any run of ``STEP`` of its characters lies in one, and its end in the last."""
+    return range(start, max(start, end + 1 - INSIDE) + STEP, STEP)
+
+
 def window(text: str, start: int, end: int) -> np.ndarray:
-    """What the network reads of a candidate: the text before it and its first characters, padded."""
+    """What the network reads from a place in a candidate that goes to ``end``: the text before and from it on, padded."""
     out = np.full(BEFORE + INSIDE, 97, np.uint8)
     left = text[max(0, start - BEFORE) : start]
-    inside = text[start : min(end + 1, start + INSIDE)]
+    inside = text[start : min(end + AFTER, start + INSIDE)]
     for piece, at in ((left, BEFORE - len(left)), (inside, BEFORE)):
         if piece:
             out[at : at + len(piece)] = _CODES[np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)]
@@ -108,18 +115,29 @@ def labelled_lines(n: int, seed: int) -> list[tuple[str, list[tuple[int, int]]]]
         lambda: chars(every, 20, 48), lambda: b64(int(rng.integers(18, 40))), lambda: rng.bytes(int(rng.integers(10, 32))).hex(), lambda: rng.bytes(16).hex().upper(),
         lambda: "ghp_" + chars(every, 36, 37), lambda: "sk-" + chars(every, 32, 48), lambda: "xoxb-" + chars(digits, 10, 12) + "-" + chars(every, 20, 24), lambda: "AKIA" + chars(upper + digits, 16, 17),
         lambda: "eyJ" + chars(every, 20, 40) + "." + chars(every, 20, 60) + "." + chars(every + "_-", 20, 43), lambda: "glpat-" + chars(every + "_", 20, 21), lambda: "-----BEGIN RSA PRIVATE KEY-----",
+        lambda: chars(every + "_-", 60, 76),
     ]
+    # what may stand before a secret, or before no secret, in one run of key characters
+    host = lambda: f"//{pick(['www.', 'api.', 'hooks.', ''])}{word()}{word()}.{pick(['com', 'org', 'example.net'])}"
+    spoken = lambda: "".join(pick("bcdfghjklmnprstvwy") + pick(["a", "e", "i", "o", "u", "ea", "oo"]) + pick(["", "", "n", "r", "s", "t", "th", "ng", "dge"]) for _ in range(int(rng.integers(1, 4))))
+    slug = lambda: "-".join(pick([spoken, word])() for _ in range(int(rng.integers(3, 16))))
+    date = lambda: f"{chars(digits, 4, 5)}/{chars(digits, 1, 3)}/{chars(digits, 1, 3)}"
+    part = lambda: pick([word, spoken, lambda: word() + "-" + word(), lambda: word().capitalize() + "_" + word(), lambda: chars(digits, 1, 5), lambda: chars(digits, 17, 20), lambda: pick("vTB") + pick(digits), lambda: pick("TB") + chars(upper + digits, 8, 11)])()
+    path = lambda low, high: "".join("/" + part() for _ in range(int(rng.integers(low, high))))
+    names = lambda: "_".join(word(5).upper() for _ in range(int(rng.integers(3, 9))))
+    deep = [lambda: host() + path(1, 6) + "/", lambda: path(3, 8) + "/", lambda: names() + "=", lambda: host() + path(1, 4) + "/" + word() + "="]
     before = ["key = ", "Authorization: Bearer ", "credential: ", "client_secret ", "aws_key ", "export KEY=", "auth ", "pass ", "", "", "signature=", "'"]
     alike = [
         lambda: "".join(word(6).capitalize() for _ in range(4)), lambda: "-".join(word() for _ in range(5)), lambda: chars(digits, 16, 20), lambda: f"{word(5)}{chars(digits, 2, 5)}@mail{pick(digits)}.example.com", lambda: f"{chars(digits, 4, 5)}-{chars(digits, 2, 3)}-{chars(digits, 2, 3)}T{chars(digits, 2, 3)}.{chars(digits, 6, 7)}",
         lambda: "." * int(rng.integers(16, 40)), lambda: "=" * int(rng.integers(16, 40)), lambda: "_".join(word() for _ in range(4)) + pick(digits), lambda: f"/{word()}/{word()}/{word()}-{pick(digits)}.{pick(digits)}", lambda: word(9) + "." + word(9).capitalize(), lambda: "www." + word(5) + word(5) + pick(digits) + ".example.org/" + word(5),
         lambda: (word(6) + word(6)).upper() + "." + word(4).capitalize(), lambda: f"{word()}-{word()}-v{pick(digits)}.{pick(digits)}.{pick(digits)}", lambda: word(8) + chars(digits, 1, 4) + word(8), lambda: (word(7) + word(7)).capitalize() + "-" + word(4).capitalize(),
+        lambda: host() + path(1, 10) + pick(["", "/", ".html", ".jpg"]), lambda: path(3, 9), lambda: names() + "=" + word(8) + pick(["", "1", ".Txt"]), lambda: f"{host()}/{spoken()}/{date()}/{slug()}{pick(['', '.html', '/', '-' + chars(digits, 1, 9)])}", lambda: host() + path(1, 4) + "/" + slug() + pick(["", ".html", "-" + chars(digits, 1, 9)]), lambda: host() + path(1, 3) + "/" + "_".join(word().capitalize() for _ in range(6)),
     ]
     out = []
     for k in range(n):
         head, tail = prose() + pick([" ", " ", "\n", "\n", ". "]), pick(["", " ", "\n", "; "]) + prose()
         if k % 2:
-            token, lead = pick(secrets)(), pick(before)
+            token, lead = pick(secrets)(), pick(before) if rng.random() < 0.7 else pick(deep)()
         else:
             token, lead = pick(alike)(), pick(["", "", "", "see ", "id ", "on ", "file ", "by ", "= "])
         start = len(head) + len(lead)
@@ -155,11 +173,15 @@ def _forward(tables, bias, dense, offset, x):
 
 
 def _windows(lines: list[tuple[str, list[tuple[int, int]]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of the lines' candidates and whether each is on a secret; those on a small part of one are left out."""
     x, y = [], []
     for text, spans in lines:
         for a, b in candidates(text):
-            x.append(window(text, a, b))
-            y.append(any(a < e and s < b for s, e in spans))
+            for at in window_starts(a, b):
+                shared = max((min(at + INSIDE, b, e) - max(at, s) for s, e in spans), default=0)
+                if shared <= 0 or shared >= min(16, b - a):
+                    x.append(window(text, at, b))
+                    y.append(shared > 0)
     return np.array(x), np.array(y, float)
 
 
@@ -225,10 +247,11 @@ def scan(docs: DataFrame, network: Network | None = None, id_col: str = "doc_id"
             for a, b in candidates(text):
                 before = bisect.bisect_left(starts, b)
                 if not before or reach[before - 1] <= a:
-                    owner.append((i, a, b))
-                    x.append(window(text, a, b))
+                    owner.append((i, a, b, len(x)))
+                    x += [window(text, at, b) for at in window_starts(a, b)]
         if x:
-            for (i, a, b), p in zip(owner, model.probabilities(np.array(x)), strict=True):
+            best = np.maximum.reduceat(model.probabilities(np.array(x)), [first for *_, first in owner])
+            for (i, a, b, _), p in zip(owner, best, strict=True):
                 if p >= model.threshold:
                     found[i].append((a, 3, b, float(p)))
         for f in found:
