@@ -36,9 +36,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    found = near_dup.find(docs, width=5, percent=80)
-    gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    found = near_dup.find(docs, width=5, percent=80, keep_key=True)
+    gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id", "text_key").distinct()
+    left = docs.withColumn("text_key", near_dup.text_key("text")).join(gone, ["doc_id", "text_key"], "left_anti").select(*COLUMNS)
     repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return left

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import components
@@ -45,8 +45,13 @@ _ODD = np.random.default_rng(77).integers(1, 2**63, 2 * M, dtype=np.uint64) * np
 _HEAD = 8 * M  # bytes of the 2 M values before the sketch
 
 
+def text_key(text) -> Column:
+    """Digest of a text, which tells rows apart that repeat an id."""
+    return F.unhex(F.md5(F.col(text).cast("binary")))
+
+
 def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n, cls, sig``: set size, digest of the set, and the MinHash values and sketch in bytes."""
+    """``doc_id, text_key, n, cls, sig``: digest of the text, set size, digest of the set, and the MinHash values and sketch in bytes."""
 
     def work(part: pa.RecordBatch) -> Iterator[dict]:
         values, rows = common.distinct_by_row(*common.shingles(*common.batch_words(part), width))
@@ -64,11 +69,11 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
             place = rows * BINS + (values & np.uint64(BINS - 1)).astype(np.int64)
             sketch.reshape(-1)[place[::-1]] = low[::-1]
         cls = [hashlib.blake2b(values[e - k : e].tobytes(), digest_size=16).digest() if k else None for e, k in zip(ends, n, strict=True)]
-        yield {"doc_id": part.column("doc_id"), "n": n, "cls": cls, "sig": [h.tobytes() + s.tobytes() if k else None for h, s, k in zip(head, sketch, n, strict=True)]}
+        yield {"doc_id": part.column("doc_id"), "text_key": part.column("text_key"), "n": n, "cls": cls, "sig": [h.tobytes() + s.tobytes() if k else None for h, s, k in zip(head, sketch, n, strict=True)]}
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return common.map_texts(rows, work, f"doc_id {id_type}, n long, cls binary, sig binary")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    return common.map_texts(rows, work, f"doc_id {id_type}, text_key binary, n long, cls binary, sig binary")
 
 
 def _plausible(sk_a: np.ndarray, sk_b: np.ndarray, share: float) -> np.ndarray:
@@ -112,9 +117,10 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
 
 def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``cls, text``: one text of each wanted class."""
-    first = classes.join(wanted, "cls", "left_semi").select("cls", F.col("first").alias("doc_id"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.join(first.hint("shuffle_hash"), "doc_id").select("cls", "text")
+    first = classes.join(wanted, "cls", "left_semi").select("cls", F.col("row.doc_id").alias("first_id"), F.col("row.text_key").alias("first_key"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key"))
+    return rows.join(first.hint("shuffle_hash"), same).select("cls", "text").dropDuplicates(["cls"])  # rows may repeat both
 
 
 def _groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[list[tuple]]:
@@ -234,10 +240,10 @@ def _dense_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def classes_and_components(docs: DataFrame, width: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``doc_id, n, cls`` of every row, and ``cls, component`` (the smallest id of its component) of every class."""
+    """``doc_id, text_key, n, cls`` of every row, and ``cls, component`` (the smallest id of its component) of every class."""
     share = percent / 100
     rows = cut(signatures(docs, width, id_col, text_col))
-    classes = cut(rows.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("sig").alias("sig")))
+    classes = cut(rows.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("first"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("row"), F.first("n").alias("n"), F.first("sig").alias("sig")))
 
     part = lambda k: F.substring("sig", k * 4 + 1, 4)
     values = classes.select("cls", F.array(*[part(k) for k in range(M)]).alias("x"), F.array(*[part(M + k) for k in range(M)]).alias("y"))
@@ -273,11 +279,11 @@ def classes_and_components(docs: DataFrame, width: int = 4, percent: int = 80, i
     roots = components(links).withColumnRenamed("node", "cls")
     firsts = classes.select("cls", "first").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     lowest = firsts.groupBy("root").agg(F.min("first").alias("component"))
-    return rows.select("doc_id", "n", "cls"), firsts.join(lowest, "root").select("cls", "component")
+    return rows.select("doc_id", "text_key", "n", "cls"), firsts.join(lowest, "root").select("cls", "component")
 
 
-def find(docs: DataFrame, width: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_shingles, component_id, kept`` for every row."""
+def find(docs: DataFrame, width: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", keep_key: bool = False) -> DataFrame:
+    """``id, n_shingles, component_id, kept`` for every row, and its ``text_key`` if ``keep_key``."""
     rows, comps = classes_and_components(docs, width, percent, id_col, text_col)
     out = rows.join(comps, "cls", "left").withColumn("component", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component")))
-    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"))
+    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"), *(["text_key"] if keep_key else []))

@@ -101,3 +101,11 @@ def test_edges(spark, name):
         assert n == len(EDGE) - 1
     none = empty(spark).withColumns({"source": F.lit("s"), "n_chars": F.length("text").cast("long")})
     assert STAGES[name](spark, none, SF).count() == 0
+
+
+def test_rows_that_share_an_id_are_dropped_one_by_one(spark):
+    one, other = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    rows = [(1, one), (2, one.replace("a30", "thirty")), (2, other), (3, other.replace("b30", "thirty"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = {(r["doc_id"], r["text"]) for r in P.drop_copies(spark, docs, "").collect()}
+    assert left == {(1, one), (2, other)}

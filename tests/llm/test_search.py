@@ -1,5 +1,6 @@
 """Decontamination, nearest neighbours and near-duplicates against brute force."""
 
+import hashlib
 import random
 import re
 
@@ -270,3 +271,15 @@ def test_near_duplicate_edges(spark):
     assert near_dup.find(empty(spark)).count() == 0
     alone = spark.createDataFrame([(None, "a b c d e"), (None, "a b c d e")], "doc_id long, text string")
     assert {(r["component_id"], r["kept"]) for r in near_dup.find(alone).collect()} == {(None, True)}
+
+
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    one, other, third = (" ".join(f"{c}{k}" for k in range(60)) for c in "abc")
+    near = lambda t: t.replace("30", "thirty")
+    rows = [(1, one), (2, near(one)), (2, other), (3, near(other)), (None, third), (None, near(third)), (None, near(third)), (9, third.replace("20", "twenty"))]
+    got = {(r["doc_id"], r["text_key"]): r for r in near_dup.find(spark.createDataFrame(rows, "doc_id long, text string"), 4, 80, keep_key=True).collect()}
+    key = {t: bytes(hashlib.md5(t.encode()).digest()) for _, t in rows}
+    want = [1, 1, 2, 2, 9, 9, 9, 9]
+    assert [got[i, key[t]]["component_id"] for i, t in rows] == want
+    alone = near_dup.find(spark.createDataFrame([(None, third), (None, near(third)), (5, third.replace("20", "x"))], "doc_id long, text string"), 4, 80)
+    assert {r["component_id"] for r in alone.collect()} == {5}
