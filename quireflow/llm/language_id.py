@@ -137,7 +137,7 @@ class Automata:
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, train: Column) -> list[tuple[str, str]]:
-    """At most SAMPLE_DOCS documents and SAMPLE_CHARS characters of each language, spread by a hash of the id."""
+    """At most SAMPLE_DOCS documents and SAMPLE_CHARS characters of each language, spread by a hash of the id; of each text the first SAMPLE_CHARS // 8."""
     rows = docs.where(train & F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.select("lang", F.xxhash64("id", "lang").alias("key"), F.substring("text", 1, SAMPLE_CHARS // 8).alias("text"))
     first = rows.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("key", "text"))).where(F.col("k") <= SAMPLE_DOCS)
