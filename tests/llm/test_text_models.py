@@ -1,6 +1,8 @@
 """Quality, language and secrets: models, held-out accuracy and edges."""
 
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -83,6 +85,46 @@ def test_cross_parsing_against_substring_search():
         assert row == [by_hand(fold(text), fold(r)) for _, r in samples]
 
 
+def test_double_array_holds_every_transition():
+    rng = np.random.default_rng(3)
+    for width, n in ((2, 300), (40, 3000), (900, 2000)):
+        codes = np.minimum(rng.zipf(1.3, n), width) - 1
+        rows = language_id.suffix_automaton(codes)
+        places, owner, to = language_id.double_array(rows, width)
+        assert len(set(places.tolist())) == len(rows)
+        for state, row in enumerate(rows):
+            at = places[state]
+            there = {c for c in range(width) if at + c < len(owner) and owner[at + c] == at}
+            assert there == set(row) and all(to[at + c] == places[t] for c, t in row.items())
+
+
+def test_memory_with_a_large_alphabet():
+    """Five languages, one of 3,000 characters, in a process of its own."""
+    code = """
+import resource, pickle, numpy as np
+from quireflow.llm import language_id as L
+rng = np.random.default_rng(0)
+latin = [(name, "".join(chr(97 + int(k)) for k in rng.integers(0, 26, 40_000))) for name in "abcd"]
+han = "".join(chr(0x4E00 + int(k)) for k in rng.permutation(np.append(np.arange(3000), rng.integers(0, 3000, 37_000))))
+model = pickle.loads(pickle.dumps(L.Automata([*latin, ("zh", han)])))
+assert model.nbytes() < 20e6, model.nbytes()
+counts = model.phrases([L.folded(t) for t in (han[:5000], latin[1][1][:5000], han[::-1] * 20)])
+assert counts[0].argmin() == 4 and counts[1].argmin() == 1
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1e3)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert float(done.stdout) < 300
+
+
+def test_sample_covers_whole_texts(spark):
+    """Pieces come from anywhere in the texts: what only their ends say is learned."""
+    text = "aaaa bbbb " * 2000 + "zyx wvu " * 2000
+    docs = spark.createDataFrame([(k, text + str(k), "q") for k in range(3)] + [(None, "short", "r"), (9, None, "r"), (9, "", "r"), (9, "short", "r")], "doc_id long, text string, lang string")
+    got = dict(language_id.sample(docs, "doc_id", "text", "lang", F.lit(True)))
+    assert set(got) == {"q", "r"} and "zyx" in got["q"] and "aaaa" in got["q"] and "short" in got["r"]
+    assert len(got["q"]) <= language_id.SAMPLE_PIECES * (language_id.PIECE + 1)
+
+
 def test_language_on_held_out_rows(spark):
     rows = queries.op6_language_id(spark, f"{TESTDATA}/sf0.01").join(spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet"), "doc_id").where("held_out and lang is not null").collect()
     assert np.mean([r["lang_pred"] == r["lang"] for r in rows]) >= 0.95
