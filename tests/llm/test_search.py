@@ -8,9 +8,11 @@ import numpy as np
 import pyarrow as pa
 from common_docs import EDGE, TESTDATA, edge, empty
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
 from quireflow.llm import decontamination as D
 from quireflow.llm import near_dup, neighbours, queries
+from quireflow.operators import storage
 
 
 def words_by_hand(text):
@@ -273,6 +275,25 @@ def test_near_duplicate_edges(spark):
     assert {(r["component_id"], r["kept"]) for r in near_dup.find(alone).collect()} == {(None, True)}
 
 
+def test_class_keys_sort_as_ids(spark):
+    numbers = [-(1 << 63), -5, -1, 0, 7, 300, (1 << 63) - 1, None]
+    df = spark.createDataFrame([(i, bytes(16)) for i in reversed(numbers)], "i long, c binary")
+    got = df.withColumn("k", F.concat(near_dup.sortable(F.col("i"), LongType()), "c")).orderBy("k").select(near_dup.id_of(F.col("k"), LongType()).alias("i")).collect()
+    assert [r["i"] for r in got] == numbers
+    names = ["", "A", "Aa", "a", "a b", "aa", "ab", "b", "é", "漢", None]
+    df = spark.createDataFrame([(i, bytes([255]) * 16) for i in reversed(names)], "i string, c binary")
+    got = df.withColumn("k", F.concat(near_dup.sortable(F.col("i"), StringType()), "c")).orderBy("k").select(near_dup.id_of(F.col("k"), StringType()).alias("i")).collect()
+    assert [r["i"] for r in got] == names
+
+
+def test_intermediate_tables_are_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "shared_dir", lambda _: f"file://{tmp_path}")
+    docs = spark.createDataFrame([(k, " ".join(f"w{i}" for i in range(k // 2, k // 2 + 60))) for k in range(40)], "doc_id long, text string")
+    assert near_dup.find(docs).count() == 40
+    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "quireflow").iterdir()}
+    assert left == {"signatures", "components"}  # what the result is read from
+
+
 def test_near_duplicates_of_repeated_and_null_ids(spark):
     one, other, third = (" ".join(f"{c}{k}" for k in range(60)) for c in "abc")
     near = lambda t: t.replace("30", "thirty")
