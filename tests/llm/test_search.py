@@ -24,7 +24,7 @@ def test_wand_finds_all_above_the_threshold():
     vocab = [f"w{k}" for k in range(120)]
     items = [" ".join(rng.choice(vocab) for _ in range(rng.randrange(8, 60))) for _ in range(70)]
     segments = [s for i, t in enumerate(items) for s in D.segments_of(i, t)]
-    index = D.Index(segments)
+    index = D.Index(segments, threshold=0.05)
     for _ in range(150):
         words = D.item_words(" ".join(rng.choice(vocab + ["zz"]) for _ in range(rng.randrange(1, 128))))
         terms = np.unique(index.term_ids(words))
@@ -33,7 +33,7 @@ def test_wand_finds_all_above_the_threshold():
         inside = np.isin(index.post_term, terms)
         np.add.at(score, index.post_seg[inside], index.impact[inside])
         for threshold in (0.05, 0.2, 0.4, 0.6):
-            got = dict(index.wand(terms, list(range(index.blocks)), threshold))
+            got = dict(index.wand(terms, threshold))
             assert set(got) == set(np.flatnonzero(score >= threshold - 1e-9))
             assert all(abs(got[k] - score[k]) < 1e-9 for k in got)
 
@@ -56,6 +56,7 @@ def test_passages_find_what_brute_force_finds():
     got = {(r, int(index.items[s])) for r, _, _, s, _ in index.search(words, rows, 0.6)}
     assert {(k, k % 40) for k in range(0, 120, 3)} <= got
     # every passage against every segment
+    index = D.Index(segments, threshold=0.3)
     for r, start, stop, s, score in index.search(words, rows, 0.3):
         terms = index.term_ids(np.unique(words[start:stop]))
         inside = np.isin(index.post_term, terms[terms >= 0]) & (index.post_seg == s)
@@ -131,6 +132,32 @@ def test_shards_find_the_same(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in D.leaks(docs, bench).collect()} >= {(k, k) for k in range(25)}
 
 
+def test_statistics_are_those_of_the_whole_benchmark(spark, monkeypatch):
+    rng = random.Random(4)
+    items = [(i % 20, " ".join(f"w{min(rng.randrange(1, 90), rng.randrange(1, 900))}" for _ in range(rng.randrange(8, 100)))) for i in range(30)]
+    docs = spark.createDataFrame([(k, " ".join(w for w in t.split() if rng.random() < 0.93)) for k, (_, t) in enumerate(items)], "doc_id long, text string")
+    bench = spark.createDataFrame([*items, *items[:9]], "item_id long, text string")
+    whole = {tuple(r) for r in D.leaks(docs, bench).collect()}
+    assert len(whole) >= 20 and len(list(D.shards(bench, "item_id", "text"))) == 1  # rows that repeat an id are one shard too
+    monkeypatch.setattr(D, "SHARD", 7)
+    assert {tuple(r) for r in D.leaks(docs, bench).collect()} == whole
+
+
+def test_short_items_by_their_whole_sequence(spark):
+    rng = random.Random(5)
+    items = [(k, " ".join(f"w{rng.randrange(12)}" for _ in range(rng.randrange(1, D.MIN_WORDS)))) for k in range(30)] + [(30, "!!"), (None, "w1, W2; w3"), (31, "漢字")]
+    docs = [(k, " ".join(f"w{rng.randrange(12)}" for _ in range(rng.randrange(0, 60)))) for k in range(80)] + [(80, "x w1-w2 w3"), (81, "漢字"), (82, None), (83, "")]
+    want = set()
+    for d, text in docs:
+        have = words_by_hand(text)
+        for i, item in items:
+            seq = words_by_hand(item)
+            if seq and any(have[k : k + len(seq)] == seq for k in range(len(have))):
+                want.add((d, i))
+    got = {(r["doc_id"], r["item_id"]) for r in D.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want and len(want) > 50 and (80, None) in want
+
+
 def test_leak_edges(spark):
     bench = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog and runs")], "item_id long, text string")
     got = {r["doc_id"] for r in D.leaks(edge(spark), bench).collect()}
