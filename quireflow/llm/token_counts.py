@@ -4,6 +4,10 @@
 cache lacks once, appends those counts, and joins the counts back to the rows. Content is normalised
 only as far as counts cannot change: null is the empty text.
 
+What is missing is found from digests alone, and no text is moved when nothing is. Else copies of a text
+are combined in each task before texts are dealt out to be encoded, so a text with a third of all
+rows leaves a task once; digests and counts are narrow rows that the engine splits where one has many.
+
 Edge cases: null text counts as empty (0 tokens); rows with null or repeated ids each give a row;
 copies of a text are encoded once; an empty table gives no rows; other columns are not read, so
 their names cannot clash. Texts are encoded whole, whatever their length.
@@ -18,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.storage import cut, exists
+from ..operators.storage import discard, exists, stored
 from . import common
 
 _CACHE = "content binary, tokenizer string, n_tokens long"
@@ -69,15 +73,24 @@ def fill_cache(texts: DataFrame, cache_path: str, tokenizer_path: str) -> None:
     """Encode the distinct texts (columns content, text) that the cache lacks and append their counts."""
     spark = texts.sparkSession
     version = tokenizer_digest(tokenizer_path)
-    known = read_cache(spark, cache_path).where(F.col("tokenizer") == version).select("content")
-    # first() is combined in each map task, so a text with a third of all rows leaves a task once
-    missing = texts.join(known, "content", "left_anti").groupBy("content").agg(F.first("text").alias("text"))
+    # combined in each map task, before anything else deals the texts out
+    distinct = texts.groupBy("content").agg(F.first("text").alias("text"))
+    missing = None
+    if exists(spark, cache_path):
+        known = read_cache(spark, cache_path).where(F.col("tokenizer") == version).select("content")
+        missing = stored(texts.select("content").distinct().join(known, "content", "left_anti"), "missing")
+        if missing.isEmpty():
+            discard(missing)
+            return
+        distinct = distinct.join(missing, "content", "left_semi")
 
     def encode(part: pa.RecordBatch) -> Iterator[dict]:
         counts = counter(tokenizer_path)(common.texts_of(part))
         yield {"content": part.column("content"), "tokenizer": [version] * len(counts), "n_tokens": counts}
 
-    common.map_texts(missing, encode, _CACHE).write.mode("append").parquet(cache_path)
+    common.map_texts(distinct, encode, _CACHE).write.mode("append").parquet(cache_path)
+    if missing is not None:
+        discard(missing)
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None = None, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -87,7 +100,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     fill_cache(rows.select(content_digest(F.col("text")).alias("content"), "text"), cache_path, tokenizer_path)
     # kept, so that the join below deals out plain rows, which the engine can split where one text has many of them
-    counts = cut(read_cache(spark, cache_path).where(F.col("tokenizer") == tokenizer_digest(tokenizer_path)).groupBy("content").agg(F.max("n_tokens").alias("n_tokens")))
+    counts = stored(read_cache(spark, cache_path).where(F.col("tokenizer") == tokenizer_digest(tokenizer_path)).groupBy("content").agg(F.max("n_tokens").alias("n_tokens")), "counts")
     keyed = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), content_digest(F.col("text")).alias("content"))
     # counts are one narrow row a text: hashed in each partition, nothing needs sorting
     return keyed.join(counts.hint("shuffle_hash"), "content").select(F.col("doc_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
