@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from common_docs import EDGE, TESTDATA, edge, empty
 from pyspark.sql import functions as F
@@ -220,6 +221,36 @@ def test_recall_on_the_small_table(spark):
     assert np.mean([v in {w for w, _ in got[q]} for q, best in want.items() for v, _ in best]) >= 0.9
 
 
+def test_what_is_moved_grows_with_the_table(spark):
+    """With clusters, four times the rows are four times the vectors moved, at a window that stays."""
+    moved = []
+    for n in (6000, 24_000):
+        rng = np.random.default_rng(5)
+        centres = rng.normal(size=(n // 20, 8))
+        v = (centres[np.arange(n) % len(centres)] + 0.01 * rng.normal(size=(n, 8))).astype(np.float32)
+        df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": v.tolist()}), "vec_id long, embedding array<float>")
+        base = neighbours.usable(df, "vec_id", "embedding")
+        classes = storage.stored(neighbours.classes_of(base, 5))
+        ranks, curves, window = neighbours.ranked(classes, classes.count(), 5, "<f4")
+        assert curves == neighbours.CURVES and 2 * window <= neighbours.BLOCK
+        wanted = classes.where("low % 50 = 0").select("cls")
+        tiles, calls = neighbours.tiles_and_calls(classes, ranks, wanted, classes.count(), window)
+        moved.append((tiles.count(), calls.count()))
+        assert moved[-1][0] <= curves * n
+    assert all(b <= 4.5 * a for a, b in zip(*moved, strict=True))
+
+
+def test_many_queries_of_a_block_are_dealt_out(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(neighbours, "CALLS", 40)
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    monkeypatch.setattr(neighbours, "RECALL", 1.0)
+    got, want = collect(neighbours.nearest(df, F.lit(True), 5)), nearest_by_hand(rows, lambda q: True, 5)
+    assert np.mean([v in {w for w, _ in got[q]} for q, best in want.items() for v, _ in best]) >= 0.97
+
+
 def test_few_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert [v for v, _ in collect(neighbours.nearest(df, F.col("vec_id") == 0, 5))[0]] == [1, 2]
