@@ -3,6 +3,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from common_docs import EDGE, TESTDATA, edge, empty
 from pyspark.sql import functions as F
@@ -168,3 +169,29 @@ def test_no_text_can_end_its_turn(spark, text):
 def test_messages_that_repeat(spark):
     rows = messages(spark, [("t", 1, None, "user", "b", 0.0), ("t", 1, None, "user", "a", 0.0), ("t", 2, 1, "assistant", "c", 0.0)])
     assert chat.format_paths(rows, chat.best_paths(rows)).select(F.regexp_count("formatted", F.lit("im_start")).alias("n")).first()["n"] == 2
+
+
+def test_added_spans_of_each_kind(spark):
+    """Precision and recall of added spans on sentences that neither generator makes."""
+    rng = np.random.default_rng(41)
+    num = lambda k: "".join(str(d) for d in rng.integers(0, 10, k))
+
+    def account():
+        body = num(20)
+        check = 98 - int(body + "282100") % 97  # SL
+        return f"SL{check:02d}{body}"
+
+    make = {
+        "ssn": lambda: f"{rng.integers(100, 600)}-{rng.integers(10, 99)}-{rng.integers(1000, 9999)}", "iban": account, "mail_words": lambda: f"bob{num(2)} (at) cottage (dot) org",
+        "local_phone": lambda: f"({rng.integers(210, 980)}) {num(3)}-{num(4)}", "birth": lambda: f"{rng.integers(1, 28)}.{rng.integers(1, 12)}.{rng.integers(1940, 2005)}",
+    }
+    said = {"ssn": ["his ssn was ", "social security no. "], "iban": ["it goes to ", "iban "], "mail_words": ["just ask ", "contact "], "local_phone": ["phone me: ", "my mobile is "], "birth": ["she was born ", "date of birth "]}
+    alike = [("the order no. ", "local_phone"), ("published ", "birth"), ("part ", "ssn"), ("since ", "birth"), ("invoice ", "local_phone")]
+    rows = [(name, f"Well, {lead}{make[name]()} and so on") for name in make for lead in said[name] for _ in range(15)] + [(None, f"Well, {lead}{make[name]()} and so on") for lead, name in alike for _ in range(12)]
+    rows += [(None, f"a code DE{num(20)} of no account") for _ in range(20)]
+    got = pii.find(spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")).orderBy("doc_id").collect()
+    added = [{pii.KINDS[k] for k in r["kinds"]} & set(pii.ADDED) for r in got]
+    recall = {name: np.mean([name in a for (n, _), a in zip(rows, added, strict=True) if n == name]) for name in make}
+    right = [name in a for (name, _), a in zip(rows, added, strict=True) if a]
+    assert min(recall.values()) >= 0.8, recall
+    assert np.mean(right) >= 0.95
