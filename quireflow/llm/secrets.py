@@ -4,15 +4,18 @@ Base findings come from three patterns. Every other token that could be a secret
 characters with a digit or mixed case, key blocks, dotted tokens, passwords in addresses) is a
 candidate; the network reads the candidate and some text before and after it, in overlapping windows from
 its start to its end, and gives a calibrated probability; the largest of its windows is the candidate's.
-The threshold is the largest that keeps ``RECALL`` of the windows on secrets in a validation set. Findings of
+The threshold is the largest that keeps ``RECALL`` of the secrets in a calibration set. Findings of
 the network are added where they overlap no base finding; base findings always stay.
 
 The network is numpy only and trained here, on labelled lines made by a fixed rule and seed
-(``labelled_lines``: ``TRAIN`` lines, secrets and look-alikes), once for each process.
+(``labelled_lines``: ``TRAIN`` lines, secrets and look-alikes), once for each process. Calibration and
+threshold come from ``calibration_lines``, of another rule that shares no words, key formats or look-alikes with
+the first, so they are measured on what the network was not fitted to.
 
 Edge cases: null and empty texts give no finding; rows with null or repeated ids each give a row; an
-empty table gives no rows; other columns are not read. Texts are scanned whole; patterns run in time
-linear in the text.
+empty table gives no rows; other columns are not read. Very long texts and candidates are scanned whole, patterns run in time
+linear in the text. Findings that tie in their start stand in the order of their kinds; a candidate that
+ties with the threshold is a finding.
 """
 
 from __future__ import annotations
@@ -45,7 +48,7 @@ _URL = re.compile(r"(?<=://)[A-Za-z0-9._~-]{1,64}:[A-Za-z0-9._~!$&*+%-]{6,}(?=@)
 #: Characters that a window holds before its start and from it on, of these after the candidate at most, and from
 #: one window's start to the next; lines the network is trained and calibrated on.
 BEFORE, INSIDE, AFTER, STEP = 20, 44, 8, 22
-TRAIN, FILTERS, WIDTH, EPOCHS = 4000, 24, 5, 6
+TRAIN, CALIBRATE, FILTERS, WIDTH, EPOCHS = 4000, 1200, 24, 5, 6
 RECALL = 0.97
 _V = 98  # printable ASCII, line end, other, and padding
 
@@ -145,6 +148,31 @@ def labelled_lines(n: int, seed: int) -> list[tuple[str, list[tuple[int, int]]]]
     return out
 
 
+def calibration_lines(n: int, seed: int) -> list[tuple[str, list[tuple[int, int]]]]:
+    """Lines of another rule than ``labelled_lines``: other words, key formats and look-alikes."""
+    rng = np.random.default_rng(seed)
+    pick = lambda xs: xs[int(rng.integers(len(xs)))]
+    chars = lambda alphabet, k: "".join(pick(alphabet) for _ in range(k))
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    every, words = upper + lower + digits, "please check that our build server found no problem with last night run before anyone else can merge it into main branch again tomorrow".split()
+    prose = lambda: " ".join(pick(words) for _ in range(int(rng.integers(2, 9))))
+    secrets = [
+        lambda: "AIza" + chars(every + "_-", 35), lambda: "npm_" + chars(every, 36), lambda: "rk_live_" + chars(every, 24), lambda: "SG." + chars(every + "_-", 22) + "." + chars(every + "_-", 43), lambda: "SK" + rng.bytes(16).hex(),
+        lambda: chars(every + "+/", 40), lambda: "ya29." + chars(every + "_-", 60), lambda: "dop_v1_" + rng.bytes(32).hex(), lambda: base64.b64encode(rng.bytes(32)).decode(), lambda: "shpat_" + rng.bytes(16).hex(),
+    ]
+    alike = [
+        lambda: "-".join(pick(words) for _ in range(int(rng.integers(4, 9)))), lambda: "".join(pick(words).capitalize() for _ in range(4)), lambda: "_".join(pick(words) for _ in range(4)) + ".py", lambda: f"https://docs.{pick(words)}{pick(words)}.net/{pick(words)}/{pick(words)}.html",
+        lambda: f"src/{pick(words)}/{pick(words)}/{pick(words).capitalize()}{pick(words).capitalize()}.java", lambda: f"20{chars('012', 2)}-0{chars('123456789', 1)}-1{chars('0123', 1)}T0{chars(digits, 1)}.3{chars(digits, 1)}.5{chars(digits, 1)}", lambda: f"{pick(words)}-{pick(words)}-{chars(digits, 1)}.{chars(digits, 2)}.{chars(digits, 1)}.tar.gz", lambda: chars(digits, int(rng.integers(16, 19))),
+        lambda: "~" * int(rng.integers(16, 50)), lambda: f"{pick(words)}.{pick(words)}{chars(digits, 2)}.{pick(words)}.example", lambda: pick(words).upper() + "_" + pick(words).upper() + "_" + pick(words).upper() + "=" + pick(words),
+    ]
+    out = []
+    for k in range(n):
+        head = prose() + pick([" ", ", ", "\n"]) + (pick(["use ", "paste ", "header X-Auth ", "value ", ""]) if k % 2 else pick(["open ", "in ", "as ", ""]))
+        token = pick(secrets if k % 2 else alike)()
+        out.append((head + token + pick([" ", "\n", ", "]) + prose(), [(len(head), len(head) + len(token))] if k % 2 else []))
+    return out
+
+
 @dataclass(frozen=True)
 class Network:
     tables: np.ndarray  # WIDTH x characters x filters
@@ -172,32 +200,33 @@ def _forward(tables, bias, dense, offset, x):
     return pooled @ dense + offset, hidden, at, pooled
 
 
-def _windows(lines: list[tuple[str, list[tuple[int, int]]]]) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of the lines' candidates and whether each is on a secret; those on a small part of one are left out."""
-    x, y = [], []
+def _windows(lines: list[tuple[str, list[tuple[int, int]]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of the lines' candidates, whether each is on a secret, and its candidate; those on a small part of a secret are left out."""
+    x, y, owner, count = [], [], [], 0
     for text, spans in lines:
         for a, b in candidates(text):
+            count += 1
             for at in window_starts(a, b):
                 shared = max((min(at + INSIDE, b, e) - max(at, s) for s, e in spans), default=0)
                 if shared <= 0 or shared >= min(16, b - a):
                     x.append(window(text, at, b))
                     y.append(shared > 0)
-    return np.array(x), np.array(y, float)
+                    owner.append(count)
+    return np.array(x), np.array(y, float), np.array(owner)
 
 
 @functools.cache
 def trained(seed: int = 5) -> Network:
     """The network, fitted with Adam on logistic loss, calibrated and given its threshold."""
-    x, y = _windows(labelled_lines(TRAIN, seed))
-    cut = len(x) * 3 // 4
+    x, y, _ = _windows(labelled_lines(TRAIN, seed))
     rng = np.random.default_rng(seed)
     tables = rng.normal(0, 0.15, (WIDTH, _V, FILTERS)).astype(np.float32)
     bias, dense, offset = np.zeros(FILTERS, np.float32), rng.normal(0, 0.2, 2 * FILTERS).astype(np.float32), np.zeros(1, np.float32)
     params = [tables, bias, dense, offset]
     first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     for _ in range(EPOCHS):
-        order = rng.permutation(cut)
-        for i in range(0, cut, 64):
+        order = rng.permutation(len(x))
+        for i in range(0, len(x), 64):
             b = order[i : i + 64]
             z, hidden, at, pooled = _forward(tables, bias, dense, offset[0], x[b])
             dz = ((1 / (1 + np.exp(-z)) - y[b]) / len(b)).astype(np.float32)
@@ -217,15 +246,17 @@ def trained(seed: int = 5) -> Network:
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 p -= 0.01 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    held_x, held_y = x[cut:], y[cut:]
-    z = _forward(tables, bias, dense, offset[0], held_x)[0].astype(float)
+    other_x, other_y, owner = _windows(calibration_lines(CALIBRATE, seed + 1))
+    z = _forward(tables, bias, dense, offset[0], other_x)[0].astype(float)
     slope, shift = 1.0, 0.0
-    for _ in range(200):  # logistic calibration by gradient steps
+    for _ in range(400):  # logistic calibration by gradient steps
         p = 1 / (1 + np.exp(-(slope * z + shift)))
-        slope -= 0.05 * float(((p - held_y) * z).mean() + 1e-3 * (slope - 1))
-        shift -= 0.05 * float((p - held_y).mean())
+        slope -= 0.05 * float(((p - other_y) * z).mean() + 1e-3 * (slope - 1))
+        shift -= 0.05 * float((p - other_y).mean())
     p = 1 / (1 + np.exp(-(slope * z + shift)))
-    threshold = float(np.quantile(p[held_y == 1], 1 - RECALL)) - 1e-9
+    starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))  # a candidate's probability is its best window's
+    best, secret = np.maximum.reduceat(p, starts), np.maximum.reduceat(other_y, starts) > 0
+    threshold = float(np.quantile(best[secret], 1 - RECALL, method="lower")) - 1e-9
     return Network(tables, bias, dense, float(offset[0]), slope, shift, threshold)
 
 
