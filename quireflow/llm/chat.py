@@ -89,19 +89,19 @@ def best_paths(messages: DataFrame, keep: int = 1) -> DataFrame:
     linked = one.join(parents, "parent", "left")
     jump = cut(linked.select("node", "tree", up.alias("up"), F.coalesce("score", F.lit(0.0)).alias("total"), F.lit(1).cast("long").alias("n")))
     leaves = jump.join(jump.where("up IS NOT NULL").select(F.col("up").alias("node")).distinct(), "node", "left_anti").select("node")
-    steps, count = [jump], jump.count()
-    while (1 << len(steps)) <= 2 * count and not steps[-1].where("up IS NOT NULL").isEmpty():
-        last = steps[-1]
-        # only nodes that have not reached their root go on; the others' sums stand
-        far = last.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("total2"), F.col("n").alias("n2"))
-        going = last.where("up IS NOT NULL").join(far, "up").select("node", "tree", F.col("up2").alias("up"), (F.col("total") + F.col("total2")).alias("total"), (F.col("n") + F.col("n2")).alias("n"))
-        steps.append(cut(going.union(last.where("up IS NULL").select("node", "tree", "up", "total", "n"))))
-    ends = steps[-1].where("up IS NULL").join(leaves, "node", "left_semi")
+    steps, count = [jump.where("up IS NOT NULL")], jump.count()
+    ended = jump.where("up IS NULL")  # nodes that have reached their root, each written in one round only
+    while (1 << len(steps)) <= 2 * count and not steps[-1].isEmpty():
+        far = steps[-1].union(ended).select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("total2"), F.col("n").alias("n2"))
+        going = cut(steps[-1].join(far, "up").select("node", "tree", F.col("up2").alias("up"), (F.col("total") + F.col("total2")).alias("total"), (F.col("n") + F.col("n2")).alias("n")))
+        ended = ended.union(going.where("up IS NULL"))
+        steps.append(going.where("up IS NOT NULL"))
+    ends = ended.join(leaves, "node", "left_semi")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("n")), F.desc("n"), "node"))
     chosen = ends.withColumn("r", rank).where(F.col("r") <= keep).select("tree", F.col("node").alias("path"), "n", "node", F.lit(0).cast("long").alias("up_by"))
     # every distance to an ancestor is one sum of powers of two, so each ancestor comes once
     for k, step in enumerate(steps):
-        hop = step.where("up IS NOT NULL").select("node", "up")
+        hop = step.select("node", "up")
         chosen = chosen.union(chosen.join(hop, "node").select("tree", "path", "n", F.col("up").alias("node"), F.col("up_by") + (1 << k)))
         if k < len(steps) - 1:
             chosen = cut(chosen)
