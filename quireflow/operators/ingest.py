@@ -11,10 +11,18 @@ from .storage import exists
 
 
 def new_rows(batch: DataFrame, known: DataFrame | None, keys: tuple[str, ...] = ("source", "source_id"), order: str = "id", title: str | None = "title_raw") -> DataFrame:
-    """What an append adds: the first row of each key that the table lacks; rows without a title go."""
+    """What an append adds: the first row of each key that the table lacks; rows without a title go.
+
+    A null in a key is a value like any other: rows whose keys are alike, nulls included, are one, and are
+    not added again. Of rows that repeat a key the smallest by ``order`` stands, ties by the other columns.
+    """
     rows = batch.where(F.col(title) != "") if title else batch
     firsts = rows.groupBy(*keys).agg(F.min(F.struct(order, *[c for c in rows.columns if c not in (order, *keys)])).alias("r")).select(*keys, "r.*").select(*rows.columns)
-    return firsts if known is None else firsts.join(known.select(*keys), list(keys), "left_anti").select(*rows.columns)
+    if known is None:
+        return firsts
+    there = known.select(*[F.col(k).alias(f"__known_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"__known_{k}")) for k in keys]
+    return firsts.join(there, same, "left_anti").select(*rows.columns)
 
 
 def append(spark: SparkSession, batch: DataFrame, path: str) -> int:

@@ -8,19 +8,20 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 
-def near_duplicates(books: DataFrame, threshold: float = 0.9, max_block: int = 4000) -> DataFrame:
+def near_duplicates(books: DataFrame, threshold: float = 0.9, max_block: int | None = None) -> DataFrame:
     """``title_a, title_b, similarity``: titles of one first character and a length differing by at most 1.
 
     A block (c, n) holds keys of n and n + 1 characters; it is passed over unless it has keys of n
-    characters and between 2 and ``max_block`` in all. Not all pairs of a block are made: two sets of
+    characters and 2 or more in all. ``max_block`` also passes over blocks of more keys than that, whole; by default none
+    are, as the grams keep the pairs few. Not all pairs of a block are made: two sets of
     similarity t share one of their first |set| - ceil(t |set|) + 1 grams in any common order, so only
-    pairs with such a gram in common are compared.
+    pairs with such a gram in common are compared. Null and empty keys are in no pair; titles that tie are each a row.
     """
     keys = books.select("title", F.col("title_key").alias("key")).where(F.col("key") != "").withColumns({"g": F.array_sort(T.grams(F.col("key"))), "c": F.substring("key", 1, 1), "n": F.length("key")})
     sizes = keys.groupBy("c", "n").agg(F.count("*").alias("own"))
     above = sizes.select("c", (F.col("n") - 1).alias("n"), F.col("own").alias("more"))
     pool = F.col("own") + F.coalesce("more", F.lit(0))
-    blocks = sizes.join(above, ["c", "n"], "left").where(pool.between(2, max_block)).select("c", F.col("n").alias("block"))
+    blocks = sizes.join(above, ["c", "n"], "left").where((pool >= 2) & (pool <= max_block if max_block else F.lit(True))).select("c", F.col("n").alias("block"))
     heads = F.slice("g", 1, (F.size("g") - F.ceil(F.size("g") * threshold - 1e-9) + 1).cast("int"))
     rows = keys.withColumn("block", F.explode(F.array("n", F.col("n") - 1))).join(blocks, ["c", "block"]).withColumn("gram", F.explode(heads))
     left = rows.select("c", "block", "gram", F.col("key").alias("ka"), F.col("title").alias("ta"), F.col("g").alias("ga"))

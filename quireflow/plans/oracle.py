@@ -238,7 +238,30 @@ _PUB_YEAR = f"coalesce(list_filter(list_transform(list_reverse(ps[2:]), lambda p
 
 TAG_LINE = "author_raw || ' / ' || publisher || ' / ' || pub_year || ' / 35.00'"
 
+_OLD_AUTHOR = ends(sub(ends("string_split(" + sub("author_raw", f"^[/{V.WS}]+", "", False) + ", '/')[1]"), rf"^{V.S}*\[.*?\]{V.S}*", "", False))
+_THREE = (
+    f"SELECT source, CAST(id AS VARCHAR) AS source_id, {ends('title_raw')} AS title_raw, author_raw, publisher, '' AS isbn FROM raw WHERE source = 'dangdang' AND {ends('title_raw')} <> '' "
+    "UNION ALL SELECT source, source_id, title_raw, author_raw, publisher, '' FROM raw WHERE source = 'weread' UNION ALL SELECT source, CASE WHEN isbn <> '' THEN isbn ELSE source_id END, title_raw, author_raw, publisher, isbn FROM raw WHERE source = 'pdc'"
+)
+_TAGGED = f"p AS (SELECT *, list_filter(list_transform(string_split(trim({sub(TAG_LINE, V.S + '+', ' ')}), '/'), lambda p: {ends('p')}), lambda p: p <> '') AS ps FROM raw)"
+_SIMILAR = """ks AS (SELECT title, title_key AS k, substr(title_key, 1, 1) AS c, length(title_key) AS n, list_distinct(list_transform(range(1, greatest(length(title_key) - 1, 1) + 1), lambda i: substr(title_key, i, 2))) AS g FROM books),
+near AS (SELECT DISTINCT x.title AS tx, y.title AS ty, x.g AS gx, y.g AS gy FROM ks x JOIN ks y ON x.c = y.c AND abs(x.n - y.n) <= 1 AND x.k < y.k),
+sims AS (SELECT tx, ty, CAST(len(list_intersect(gx, gy)) AS DOUBLE) / (len(gx) + len(gy) - len(list_intersect(gx, gy))) AS sim FROM near)"""
+
 ORACLE: dict[str, str] = {
+    "review_rows": over(f"{BOOKS}, {_SIMILAR}", "SELECT least(tx, ty) AS title_a, greatest(tx, ty) AS title_b, round(max(sim), 3) AS similarity FROM sims WHERE sim >= 0.9 GROUP BY 1, 2"),
+    "rebuild": over(BOOKS, "SELECT id AS book_id, raw_id FROM clustered JOIN firsts USING (cluster)"),
+    "lexicon_saved": over(f"{RAW}, {LEXICON}", "SELECT key, display FROM lexicon"),
+    "appended_count": f"WITH e AS (SELECT DISTINCT source, source_id FROM ({_LISTING}) WHERE title_raw <> ''), c AS (SELECT count(*) FILTER (WHERE source IN ('click', 'view')) AS a, count(*) AS b FROM e) SELECT 0 AS step, a AS n FROM c UNION ALL SELECT 1, b - a FROM c UNION ALL SELECT 2, 0 FROM c",
+    "null_keys": f"WITH e AS (SELECT id, source, CASE WHEN CAST(source_id AS BIGINT) % 3 <> 0 THEN source_id END AS source_id, title_raw FROM ({_LISTING}) WHERE title_raw <> '') SELECT id, source, source_id, title_raw FROM e WHERE source <> 'click' QUALIFY row_number() OVER (PARTITION BY source, source_id ORDER BY id) = 1",
+    "stream_first": "SELECT event_id AS id, event_type AS source, CAST(user_id AS VARCHAR) AS source_id, value FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id) = 1",
+    "stream_batches": "SELECT 0 AS batch, count(*) AS n FROM events",
+    "union_all_sources": over(f"{RAW}, {_TAGGED}", f"{_THREE} UNION ALL SELECT source, CAST(id AS VARCHAR), trim(title_raw), coalesce(ps[1], ''), {_PUB_PRESS}, '' FROM p WHERE source = 'douban' AND trim(title_raw) <> ''"),
+    "legacy_pages": over(
+        f"{RAW}, l AS (SELECT {ends('title_raw')} AS title, {_OLD_AUTHOR} AS author FROM raw)",
+        "SELECT title, author, 'dangdang' AS source FROM l WHERE title <> '' AND author <> ''",
+    ),
+    "legacy_files": over(RAW, "SELECT title_raw AS title, author_raw AS author, source, unnest(['csv', 'json']) AS file FROM raw"),
     "squash": over(RAW, f"SELECT id, {squash('title_raw')} AS squashed FROM raw"),
     "title_wrap": over(RAW, f"SELECT id, {unwrap('title_raw')} AS unwrapped FROM raw"),
     "cjk_ratio": over(RAW, f"SELECT id, round({ratio('title_raw')}, 6) AS ratio FROM raw"),

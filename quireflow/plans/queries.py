@@ -183,7 +183,33 @@ def score(spark, sf_dir):
 
 @query
 def near_duplicates(spark, sf_dir):
-    return near_titles.near_duplicates(storage.cut(books(spark, sf_dir).select("title", "title_key")))
+    return near_titles.near_duplicates(storage.cut(books(spark, sf_dir).select("title", "title_key")), max_block=4000)
+
+
+@query
+def review_rows(spark, sf_dir):
+    """The review file of all near-equal titles, written and read back."""
+    path = storage.scratch_path(spark, "review")
+    files.review_csv(near_titles.near_duplicates(storage.cut(books(spark, sf_dir).select("title", "title_key"))), path)
+    rows = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    return rows.select(F.col(f"`{rows.columns[0]}`").alias("title_a"), "title_b", F.col("similarity").cast("double").alias("similarity"))
+
+
+@query
+def rebuild(spark, sf_dir):
+    """Members as the newest of two versions; the first one lacks the odd rows."""
+    path, rows = storage.scratch_path(spark, "rebuild"), clustered(spark, sf_dir)
+    ingest.replace_tables({"members": R.members(rows).where("raw_id % 2 = 0")}, path)
+    ingest.replace_tables({"members": R.members(rows)}, path)
+    return ingest.read_version(spark, path, "members")
+
+
+@query
+def lexicon_saved(spark, sf_dir):
+    """The lexicon, saved and loaded."""
+    path = storage.scratch_path(spark, "lexicon")
+    L.save(L.build(adapter.raw(spark, sf_dir)), path)
+    return L.load(spark, path)
 
 
 @query
@@ -242,6 +268,21 @@ def insert_ignore(spark, sf_dir):
     return ingest.new_rows(rows, ingest.new_rows(rows.where(F.col("source").isin("click", "view")), None))
 
 
+@query
+def appended_count(spark, sf_dir):
+    """How many rows each of three appends to a table adds: some, the rest, and none."""
+    rows, path = listing_batch(spark, sf_dir), storage.scratch_path(spark, "appended")
+    batches = (rows.where(F.col("source").isin("click", "view")), rows, rows)
+    return spark.createDataFrame([(k, ingest.append(spark, b, path)) for k, b in enumerate(batches)], "step int, n long")
+
+
+@query
+def null_keys(spark, sf_dir):
+    """What all events add to a table that holds the clicks, where the ids of every third user are missing."""
+    rows = listing_batch(spark, sf_dir).withColumn("source_id", F.when(F.col("source_id").cast("long") % 3 != 0, F.col("source_id")))
+    return ingest.new_rows(rows, ingest.new_rows(rows.where("source = 'click'"), None))
+
+
 def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as task states: the turns are updates of a task."""
     c = table(spark, sf_dir, "conversations")
@@ -292,6 +333,26 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(f"{path}/rows")
 
 
+@query
+def stream_first(spark, sf_dir):
+    """The first event of each key, whole, as a stream wrote it."""
+    schema = table(spark, sf_dir, "events").schema
+    rows = streams.stream(spark, sf_dir, schema, "events.parquet").selectExpr("event_id as id", "event_type as source", "cast(user_id as string) as source_id", "value")
+    path = storage.scratch_path(spark, "stream-first")
+    streams.ingest_first(rows, f"{path}/rows", f"{path}/checkpoint", ("source", "source_id"), "id")
+    return spark.read.parquet(f"{path}/rows").drop("batch")
+
+
+@query
+def stream_batches(spark, sf_dir):
+    """What a callback saw of each batch of a stream."""
+    seen: list[tuple[int, int]] = []
+    schema = table(spark, sf_dir, "events").schema
+    path = storage.scratch_path(spark, "stream-batches")
+    streams.ingest(streams.stream(spark, sf_dir, schema, "events.parquet"), f"{path}/rows", f"{path}/checkpoint", lambda batch, number: seen.append((number, batch.count())))
+    return spark.createDataFrame(seen, "batch int, n long")
+
+
 # ---------------------------------------------------------------- listings
 
 
@@ -337,12 +398,42 @@ def union_sources(spark, sf_dir):
     return registry.listings(pages).select("source", "source_id", "title_raw", "author_raw", "publisher", "isbn")
 
 
+def tag_pages(rows: DataFrame) -> DataFrame:
+    """Tag pages that show raw rows, twenty ids a page."""
+    li = F.concat(F.lit('<li class="subject-item"><h2 class=""><a href="https://book.example.com/subject/'), "id", F.lit('/" title="'), F.trim("title_raw"), F.lit('">shown</a></h2><div class="pub">'), F.concat_ws(" / ", "author_raw", "publisher", "pub_year", F.lit("35.00")), F.lit("</div></li>"))
+    pages = rows.groupBy(F.floor(F.col("id") / 20).alias("start")).agg(F.concat(F.lit("<ul>"), F.array_join(F.array_sort(F.collect_list(li)), "\n"), F.lit("</ul>")).alias("html"))
+    return pages.withColumn("tag", F.lit("novel"))
+
+
+@query
+def union_all_sources(spark, sf_dir):
+    """The pages of all four sources, each in its own format, as one listing."""
+    rows = adapter.raw(spark, sf_dir)
+    of = lambda source: rows.where(F.col("source") == source)
+    pages = {"dangdang": shop_pages(of("dangdang")), "weread": json_pages(of("weread")), "pdc": catalogue_pages(of("pdc")), "douban": tag_pages(of("douban"))}
+    return registry.listings(pages).select("source", "source_id", "title_raw", "author_raw", "publisher", "isbn")
+
+
+@query
+def legacy_pages(spark, sf_dir):
+    """Shop pages read by the older rules."""
+    return html.legacy_items(shop_pages(adapter.raw(spark, sf_dir)), "dangdang")
+
+
+@query
+def legacy_files(spark, sf_dir):
+    """The older CSV and JSON files of all raw rows, written and read back."""
+    path = storage.scratch_path(spark, "legacy")
+    where = files.save_all(legacy_rows(spark, sf_dir), path)
+    csv = files.read_csv(spark, where["csv"]).withColumn("file", F.lit("csv"))
+    rows = spark.read.schema("title string, author string, source string").json(where["json"])
+    return csv.unionByName(rows.withColumn("file", F.lit("json")))
+
+
 @query
 def tag_page_items(spark, sf_dir):
     """Tag pages made of raw rows, read back."""
-    li = F.concat(F.lit('<li class="subject-item"><h2 class=""><a href="https://book.example.com/subject/'), "id", F.lit('/" title="'), F.trim("title_raw"), F.lit('">shown</a></h2><div class="pub">'), F.concat_ws(" / ", "author_raw", "publisher", "pub_year", F.lit("35.00")), F.lit("</div></li>"))
-    pages = adapter.raw(spark, sf_dir).groupBy(F.floor(F.col("id") / 20).alias("start")).agg(F.concat(F.lit("<ul>"), F.array_join(F.array_sort(F.collect_list(li)), "\n"), F.lit("</ul>")).alias("html"))
-    return html.tag_items(pages.withColumn("tag", F.lit("novel"))).select("source_id", "title_raw", "author_raw", "publisher", "pub_year", "url")
+    return html.tag_items(tag_pages(adapter.raw(spark, sf_dir))).select("source_id", "title_raw", "author_raw", "publisher", "pub_year", "url")
 
 
 @query

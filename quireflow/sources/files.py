@@ -44,9 +44,9 @@ def write_table(rows: DataFrame, url: str, table: str, properties: dict[str, str
 
 
 def _write_csv(rows: DataFrame, path: str) -> None:
-    """One ordered CSV file with a byte order mark, quotes doubled, CR LF line ends."""
+    """One ordered CSV file with a byte order mark, quotes doubled, CR LF line ends, white space as it is."""
     marked = rows.withColumnRenamed(rows.columns[0], BOM + rows.columns[0])
-    marked.coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", lineSep="\r\n")
+    marked.coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", lineSep="\r\n", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def export_rows(books: DataFrame, min_conf: float = 0.0) -> DataFrame:

@@ -67,11 +67,12 @@ def ranked_tags(pages: DataFrame, limit: int | None = None) -> DataFrame:
     """``tag, n`` by count; where no page has counts, the distinct linked tags in order. The last count of a tag stands."""
     found = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(COUNTED_TAG), F.lit(0))).alias("at", "m"))
     counted = found.select(F.regexp_extract("m", COUNTED_TAG, 1).alias("tag"), F.regexp_extract("m", COUNTED_TAG, 2).cast("long").alias("n"), F.struct("page_id", "at").alias("at"))
-    ranked = counted.groupBy("tag").agg(F.max_by("n", "at").alias("n"), F.min("at").alias("first")).orderBy(F.desc("n"), "first").select("tag", "n")
-    if ranked.isEmpty():
-        links = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(TAG), F.lit(1))).alias("at", "tag"))
-        ranked = links.groupBy("tag").agg(F.min(F.struct("page_id", "at")).alias("first")).orderBy("first").select("tag", F.lit(None).cast("long").alias("n"))
-    return ranked.limit(limit) if limit else ranked
+    ranked = counted.groupBy("tag").agg(F.max_by("n", "at").alias("n"), F.min("at").alias("first"))
+    links = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(TAG), F.lit(1))).alias("at", "tag"))
+    plain = links.groupBy("tag").agg(F.lit(None).cast("long").alias("n"), F.min(F.struct("page_id", "at")).alias("first"))
+    none = ranked.agg(F.count("*").alias("__n")).where("__n = 0").select()  # one row without columns, or no row
+    out = ranked.union(plain.join(none)).orderBy(F.desc("n"), "first").select("tag", "n")
+    return out.limit(limit) if limit else out
 
 
 def categories(pages: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.legacy import join_authors, without_ids
+from ..operators.storage import cut
 from .raw import listing
 
 PAGE = "books array<struct<bookInfo: struct<bookId: string, title: string, author: string, publisher: string, publishTime: string, category: string, deepLink: string>>>"
@@ -13,8 +14,6 @@ _ROW = "array<struct<bookName: string, firstbookname: string, isbn: string, id:
 CATALOGUE = f"data struct<list: {_ROW}>, list {_ROW}"
 BINDINGS = "results struct<bindings: array<struct<itemLabel: struct<value: string>, authorLabel: struct<value: string>>>>"
 LIBRARY = "docs array<struct<title: string, author_name: array<string>>>"
-#: Levels of a category tree that are followed.
-LEVELS = 8
 
 
 def page_items(pages: DataFrame, col: str = "json") -> DataFrame:
@@ -32,11 +31,12 @@ def catalogue_items(pages: DataFrame, col: str = "json") -> DataFrame:
     return listing(b, source=F.lit("pdc"), source_id=first("isbn", "id"), title_raw=first("bookName", "firstbookname"), author_raw="author", publisher="publisher", pub_year=F.substring("publishDate", 1, 4), isbn="isbn", category="cate1")
 
 
-def tree_leaves(trees: DataFrame, col: str = "json", levels: int = LEVELS) -> DataFrame:
-    """``path, cid, name`` of a category tree's leaves. Nodes without an id drop what is below them.
+def tree_leaves(trees: DataFrame, col: str = "json") -> DataFrame:
+    """``path, cid, name`` of a category tree's leaves, however deep. Nodes without an id drop what is below them.
 
     Children stand under ``sublist`` or ``categories``, names under ``title`` or ``name``; the tree's
-    first level is ``data[]``, whose own children (``categories`` or ``sublist``) are the roots.
+    first level is ``data[]``, whose own children (``categories`` or ``sublist``) are the roots. Each level
+    is kept before the next is taken, until there is none. Text that is no JSON gives no rows.
     """
     get = lambda node, key, kind: F.try_variant_get(node, f"$.{key}", kind)
 
@@ -46,13 +46,13 @@ def tree_leaves(trees: DataFrame, col: str = "json", levels: int = LEVELS) -> Da
 
     groups = trees.select(F.explode(get(F.try_parse_json(col), "data", "array<variant>")).alias("g"))
     nodes = groups.select(F.explode(child_list(F.col("g"), "categories", "sublist")).alias("v"), F.lit("").alias("path"))
-    out = None
-    for _ in range(levels):
+    out, nodes = None, cut(nodes)
+    while out is None or not nodes.isEmpty():
         name = F.coalesce(F.nullif(get(F.col("v"), "title", "string"), F.lit("")), get(F.col("v"), "name", "string"), F.lit(""))
         named = nodes.select("path", get(F.col("v"), "CategoryId", "string").alias("cid"), name.alias("name"), child_list(F.col("v"), "sublist", "categories").alias("below")).where(F.coalesce("cid", F.lit("")) != "")
         leaves = named.where(F.col("below").isNull()).select(F.concat("path", "name").alias("path"), "cid", "name")
         out = leaves if out is None else out.union(leaves)
-        nodes = named.where(F.col("below").isNotNull()).select(F.explode("below").alias("v"), F.concat("path", "name", F.lit("/")).alias("path"))
+        nodes = cut(named.where(F.col("below").isNotNull()).select(F.explode("below").alias("v"), F.concat("path", "name", F.lit("/")).alias("path")))
     return out
 
 

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quireflow.operators import lexicon as L
@@ -140,3 +141,18 @@ def test_report_file(spark, tmp_path):
 def test_empty_year_is_not_counted(spark):
     books = spark.createDataFrame([("",), ("1996",), ("1948",), ("2029",)], "pub_year string")
     assert [tuple(r) for r in report.decade_histogram(books).collect()] == [("1990s", 1), ("2020s", 1)]
+
+
+def test_components_that_do_not_settle_are_an_error(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components(chain, most_rounds=1)
+    assert {r["root"] for r in components(chain).collect()} == {0}
+
+
+def test_blocks_of_any_size(spark):
+    """No block is passed over unless a limit is given."""
+    long = "甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳午未申酉"
+    books = spark.createDataFrame([(f"{long}{chr(0x4E00 + k)}", f"{long}{chr(0x4E00 + k)}") for k in range(30)], "title string, title_key string")
+    assert near_titles.near_duplicates(books, 0.9).count() == 30 * 29 // 2
+    assert near_titles.near_duplicates(books, 0.9, 20).count() == 0

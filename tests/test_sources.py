@@ -1,5 +1,6 @@
 """Listings, files, ingest and streams."""
 
+import json as json_lib
 import os
 
 from pyspark.sql import functions as F
@@ -179,3 +180,37 @@ def test_book_pattern_gives_all_matches_or_its_pages(spark):
     assert sorted(got) == books
     pages = [[r["item"] for r in json.book_pattern(triples, labels, citizenship="Q8", limit=10, offset=at).collect()] for at in (0, 10, 20)]
     assert [len(p) for p in pages] == [10, 10, 3] and sum(pages, []) == books
+
+
+def test_deep_trees(spark):
+    """Twelve levels, and leaves on the way down."""
+    node = {"CategoryId": "c12", "title": "t12"}
+    for k in range(11, 0, -1):
+        node = {"CategoryId": f"c{k}", "title": f"t{k}", "sublist": [node, {"CategoryId": f"leaf{k}", "name": f"l{k}"}]}
+    tree = json_lib.dumps({"data": [{"categories": [node]}]})
+    rows = json.tree_leaves(spark.createDataFrame([(tree,)], "json string")).collect()
+    assert {r["cid"] for r in rows} == {"c12", *(f"leaf{k}" for k in range(1, 12))}
+    assert next(r["path"] for r in rows if r["cid"] == "c12") == "/".join(f"t{k}" for k in range(1, 13))
+
+
+def test_first_writes_are_kept_whole(spark, tmp_path):
+    source, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    schema = "k string, n long, say string"
+    for rows in ([("a", 2, "second"), ("a", 1, "first"), (None, 5, "none")], [("a", 0, "late"), ("b", 7, "b"), (None, 4, "late none")], [("b", 1, "late b")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        streams.ingest_first(streams.stream(spark, source, schema), out, check, ("k",), "n")
+    assert sorted((r["say"] for r in spark.read.parquet(out).collect())) == ["b", "first", "none"]
+
+
+def test_null_keys_are_added_once(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "s", None, "t"), (2, "s", None, "u"), (3, None, "x", "v"), (4, "s", "x", "w")], "id long, source string, source_id string, title_raw string")
+    path = str(tmp_path / "t")
+    assert [ingest.append(spark, rows, path) for _ in range(2)] == [3, 0]
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 3, 4]
+
+
+def test_review_file(spark, tmp_path):
+    pairs = spark.createDataFrame([("a", " b ", 0.9), ("c", 'd "e"', 1.0)], "title_a string, title_b string, similarity double")
+    files.review_csv(pairs, str(tmp_path / "review"))
+    text = next((tmp_path / "review").glob("*.csv")).read_bytes().decode("utf-8")
+    assert text == "\ufefftitle_a,title_b,similarity\r\nc,\"d \"\"e\"\"\",1.0\r\na, b ,0.9\r\n"
