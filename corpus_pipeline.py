@@ -10,9 +10,10 @@ again as the next stage's docs. All but the last give the columns of ``documents
 4. secrets: secrets in the text are replaced by ``[SECRET]``; n_chars follows.
 5. bpe: the ids of each text (little-endian unsigned 32-bit integers) and digests of ids and decoding.
 
-Edge cases: a null text counts as empty in every stage and stays null until the last; documents
-without an id can't be told apart, so stages 2 and 3 let them stay; empty tables give empty results;
-columns other than those of ``documents`` are dropped.
+Edge cases: a null text counts as empty in every stage and stays null until the last; very long texts are
+taken whole; documents without an id can't be told apart, so stages 2 and 3 let them stay; rows that repeat an id
+and a text are one after stage 2, with other texts they stay; ties (a score at the threshold, a similarity at the limit)
+count as reached; empty tables give empty results; columns other than those of ``documents`` are dropped.
 """
 
 from __future__ import annotations
