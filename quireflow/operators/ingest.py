@@ -59,6 +59,19 @@ def mark_done(rows: DataFrame, keys: tuple[str, ...] = ("source", "task_key")) -
     return rows.groupBy(*keys).agg(F.when(F.count_if(F.col("items").isNull()) == 0, 1).otherwise(0).cast("long").alias("done"), F.count("items").alias("pages"), F.coalesce(F.sum("items"), F.lit(0)).alias("items"))
 
 
+def until_short(pages: DataFrame, full: int, keys: tuple[str, ...] = ("source", "task_key"), order: str = "page", items: str = "items") -> DataFrame:
+    """The pages of each task up to its first one with fewer than ``full`` items, which still counts if it has any.
+
+    A page that was not fetched (null items) ends nothing and is left out. Pages that tie in their number
+    stand or go together. A task without a short page keeps all its pages; without pages there is no row.
+    """
+    known = pages.where(F.col(items).isNotNull())
+    last = known.where(F.col(items) < full).groupBy(*keys).agg(F.min(order).alias("__last"))
+    same = [F.col(f"p.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys]
+    joined = known.alias("p").join(last.alias("l"), same, "left")
+    return joined.where((F.col(f"p.{items}") > 0) & (F.col("__last").isNull() | (F.col(f"p.{order}") <= F.col("__last")))).select("p.*")
+
+
 def per_group_limit(rows: DataFrame, keys: list[str], order: list, most: int) -> DataFrame:
     """At most so many rows of each group (page caps of listings)."""
     return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("__r") <= most).drop("__r")

@@ -9,7 +9,7 @@ from ..functions import quality as Q
 from ..functions import text as T
 from . import lexicon as L
 from .components import components
-from .storage import cut
+from .storage import cut, discard, stored
 
 #: Alternative titles listed for a book.
 ALIASES = 8
@@ -27,11 +27,13 @@ def clean_records(raw: DataFrame, lexicon: DataFrame | None = None) -> DataFrame
         better = F.col("key").startswith(F.col("hit_key")) & (F.length("key") >= F.length("hit_key") + 2) & T.has_tail_noise(F.col("title_raw"))
         better = F.coalesce(better, F.lit(False))
         rows = rows.withColumns({"title": F.when(better, F.col("hit")).otherwise(F.col("title")), "confidence": F.when(better, 1.0).otherwise(F.col("confidence"))})
-    rows = rows.withColumn("key", T.title_key(F.col("title")))
+    # settled here, as the reason names the title in every case and would put the whole choice in its place each time
+    rows = T.settled(rows.withColumn("key", T.title_key(F.col("title"))), ["title", "confidence", "key"])
+    rows = T.settled(rows.withColumn("reason", Q.reject_reason(F.col("title"), F.col("key"))), ["reason"])
     return rows.select(
         F.col("id").alias("raw_id"), "source", "title", "key", "edition", "volume", T.clean_author(F.col("author_raw")).alias("author"), T.squash(F.col("publisher")).alias("publisher"),
         T.pub_year(F.col("pub_year")).alias("pub_year"), T.isbn13(F.col("isbn")).alias("isbn"), T.squash(F.col("category")).alias("category"), "confidence",
-        T.squash(F.col("title_raw")).alias("title_raw"), Q.reject_reason(F.col("title"), F.col("key")).alias("reason"),
+        T.squash(F.col("title_raw")).alias("title_raw"), "reason",
     )
 
 
@@ -49,15 +51,19 @@ def clusters(cands: DataFrame) -> DataFrame:
     """``cands`` with ``cluster``: the smallest key reachable over equal keys and equal ISBNs.
 
     Equal keys are one node from the start; only distinct (key, ISBN) pairs whose ISBN has several
-    keys become links, to that ISBN's smallest key. Candidates and result are kept, as books and
-    members read them several times.
+    keys become links, to that ISBN's smallest key. Candidates are kept while they are read; the result
+    is stored, as books and members read a few columns of it several times, until it is discarded. Rows
+    with equal keys tie in one cluster; a null ISBN links nothing; without candidates there is no row.
     """
-    cands = cut(cands)
+    cands = stored(cands, "candidates")
     pairs = cands.where(F.col("isbn") != "").select("key", "isbn").distinct()
     lowest = pairs.groupBy("isbn").agg(F.min("key").alias("low"))
     links = pairs.join(lowest, "isbn").where("key <> low").select(F.col("key").alias("a"), F.col("low").alias("b"))
-    roots = components(links).select(F.col("node").alias("key"), F.col("root").alias("cluster"))
-    return cut(cands.join(roots, "key", "left").withColumn("cluster", F.coalesce("cluster", "key")))
+    found = components(links)
+    roots = found.select(F.col("node").alias("key"), F.col("root").alias("cluster"))
+    out = stored(cands.join(roots, "key", "left").withColumn("cluster", F.coalesce("cluster", "key")), "clusters")
+    discard(cands, found)
+    return out
 
 
 def survivors(clustered: DataFrame) -> DataFrame:

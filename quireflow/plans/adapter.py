@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 TITLES = (
     "红楼梦", "西游记", "三国演义", "水浒传", "人类简史：从动物到上帝", "有闲阶级论", "菊与刀", "乡土中国（生育制度）", "家", "Quantitative Analysis", "我的台灯",
-    "啊啊啊啊啊啊啊", "！！！", "红楼梦新证", "西游记续", "时间简史", "百年孤独 全译版", "围城·钱钟书",
+    "啊啊啊啊啊啊啊", "！！！", "红楼梦新证", "西游记续", "时间简史", "百年孤独 全译版", "围城·钱钟书", "中国历代文学作品选读与鉴赏辞典大全总目录",
 )
 SUFFIXES = (
     "", "（精装本）", "（全二册）", " 正版包邮", " 曹雪芹 著", " 人民文学出版社", "（当当专享 亲签版）", " 第三版", "   ", "（一本你真的应该读的书，推荐给大家）",
     " 悬疑惊悚小说", "正版书籍 衔接课内外", " 定价 35", "（名著系列）", " 第3卷", "：", "客服", "——上下", " 余华 莫言推荐", "（同名电视剧原著）",
-    "青少版课外读物 作家出版社",
+    "青少版课外读物 作家出版社", " 9787020002207", "编号12397870200022071",
 )
 WRAPS = (("", ""), ("《", "》"), ("【", "】"), ("  ", ""))
 AUTHORS = ("曹雪芹 著", "余华著", "2016-09-01", "无", "佚名", "[清]曹雪芹", "（美）海明威 著", "", "张三 / 李四 编著", "Ｊ．Ｋ．罗琳")
@@ -29,10 +29,11 @@ def _pick(values, by: str) -> str:
     return f"CASE CAST({by} AS BIGINT) % {len(values)} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(quoted)) + " END"
 
 
-#: Appended to many titles, so that there are many of them.
-MARKS = tuple("春夏秋冬东南西北天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往") + ("",) * 7
-
 _K = "p_partkey"
+#: Rows that share a mark. The mark is their number in these characters, and follows the title in most rows, so titles
+#: grow with the table, each with a few rows of its own.
+SHARE, DIGITS = 40, "天地玄黄宇宙洪荒日月"
+_MARK = f"CASE WHEN {_K} % 8 = 0 THEN '' ELSE translate(CAST(CAST(({_K} - {_K} % {SHARE}) / {SHARE} AS BIGINT) AS VARCHAR(20)), '0123456789', '{DIGITS}') END"
 # rows 4 and 5 of each twenty share a number
 _ISBN_BODY = f"concat('9787', lpad(CAST(({_K} - {_K} % 2) * 37 % 99999989 AS VARCHAR(9)), 8, '0'))"
 
@@ -40,7 +41,7 @@ _ISBN_BODY = f"concat('9787', lpad(CAST(({_K} - {_K} % 2) * 37 % 99999989 AS VAR
 RAW_SQL = f"""
 WITH k AS (
   SELECT CAST({_K} AS BIGINT) AS id, CAST(p_size AS BIGINT) AS size, {_ISBN_BODY} AS body,
-    concat({_pick(TITLES, f"{_K} * 7 + p_size")}, {_pick(MARKS, f"{_K} * 5 + p_size * 11")}) AS base, {_pick(SUFFIXES, f"{_K} + p_size * 3")} AS suffix,
+    concat({_pick(TITLES, f"{_K} * 7 + p_size")}, {_MARK}) AS base, {_pick(SUFFIXES, f"{_K} + p_size * 3")} AS suffix,
     {_pick([w[0] for w in WRAPS], "p_size")} AS opened, {_pick([w[1] for w in WRAPS], "p_size")} AS closed,
     {_pick(SOURCES, f"{_K} * 3 + p_size")} AS source, {_pick(AUTHORS, f"{_K} + p_size")} AS author_raw, {_pick(PRESSES, f"{_K} + 1")} AS publisher
   FROM {{part}}

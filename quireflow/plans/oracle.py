@@ -1,8 +1,8 @@
 """The registered queries as SQL for DuckDB, written on its own functions.
 
 Its patterns know no look-around and no back-reference, so bracket groups are taken apart and put
-together again, and repeated characters are compared. Bare ISBNs in titles, which need a look-behind,
-don't occur in the derived listings.
+together again, and repeated characters are compared. A bare ISBN, which no digit may touch, is a
+pattern of its own that takes in its neighbours.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-JUNK = V.JUNK.replace(rf"(?<!{V.D})", "").replace(rf"(?!{V.D})", "")
+_BARE = rf"97[89]{V.D}{{10}}"
+OTHER_JUNK = V.JUNK.replace(rf"(?<!{V.D}){_BARE}(?!{V.D})|", "")
+JUNK = rf"{OTHER_JUNK}|(?:^|\P{{Nd}}){_BARE}(?:$|\P{{Nd}})"
 LETTERS = V.FULL_WIDTH + V.SPACES, V.ASCII + " " * len(V.SPACES)
 
 
@@ -98,8 +100,12 @@ def promo_steps(x: str) -> list[dict[str, str]]:
         piece = f"ps[i + 1] || CASE WHEN i < len(ms) THEN CASE WHEN {bad.format(inner=inner)} THEN ' ' ELSE ms[i + 1] END ELSE '' END"
         return [{"ps": f"string_split_regex(s, {q(pattern)})", "ms": f"regexp_extract_all(s, {q(pattern)})"}, {"s2": f"array_to_string(list_transform(range(len(ps)), lambda i: {piece}), '')"}, {"cut": "cut OR s2 <> s"}, {"s": "s2"}]
 
-    def truncate(pattern: str, chars: str | None) -> list[dict[str, str]]:
+    def truncate(pattern: str, chars: str | None, bare: bool = False) -> list[dict[str, str]]:
         head = f"regexp_extract(s, {q(f'(?s)^(.*?)(?:{pattern})')}, 1)"
+        if bare:  # the first match of either pattern
+            number = rf"(?s)^((?:.*?\P{{Nd}})??){_BARE}(?:$|\P{{Nd}})"
+            at = f"least(CASE WHEN {has('s', pattern)} THEN length({head}) END, CASE WHEN {has('s', number)} THEN length(regexp_extract(s, {q(number)}, 1)) END)"
+            head = f"substr(s, 1, coalesce({at}, 0))"
         return [{"head": head}, {"cut": "cut OR length(head) >= 2", "s": f"CASE WHEN length(head) >= 2 THEN {strip('head', chars) if chars else 'head'} ELSE s END"}]
 
     total = lambda a: f"coalesce(list_sum(list_transform({a}, lambda y: length(y))), 0)"
@@ -118,7 +124,7 @@ def promo_steps(x: str) -> list[dict[str, str]]:
         {"f1": first, "f2": rest},
         {"cut": f"cut OR {listed}", "s": f"CASE WHEN {listed} THEN f1 ELSE s END"},
         *truncate(V.PRESS, V.HEAD_STRIP),
-        *truncate(JUNK, " "),
+        *truncate(OTHER_JUNK, " ", bare=True),
         {"s": squash("s")},
     ]
 
@@ -335,6 +341,8 @@ sims AS (SELECT tx, ty, CAST(len(list_intersect(gx, gy)) AS DOUBLE) / (len(gx) +
     "tag_ranking": "SELECT tag, n FROM (SELECT p_type AS tag, arg_max(CAST(p_size AS BIGINT), p_partkey) AS n FROM part GROUP BY p_type)",
     "fallback_categories": "SELECT unnest(['01.01.00.00.00.00', '01.03.00.00.00.00', '01.05.00.00.00.00']) AS cid",
     "page_titles": f"SELECT page_id, sha256(trim({sub('''replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '(?s)<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&amp;', '&')''', V.S + '+', ' ')})) AS heading_sha256, len(regexp_extract_all(html, '<a href=\"([^\"]*)\"')) AS links FROM pages",
+    "page_stops": "WITH p AS (SELECT event_type AS source, user_id % 50 AS task_key, event_id % 40 AS page, CASE WHEN max(event_id) % 11 <> 0 THEN count(*) + max(event_id) % 7 END AS items FROM events GROUP BY ALL), k AS (SELECT *, coalesce(bool_or(items < 2) OVER (PARTITION BY source, task_key ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS over FROM p WHERE items IS NOT NULL) SELECT source, task_key, page, items FROM k WHERE NOT over AND items > 0",
+    "gbk_pages": over(RAW, "SELECT id, title_raw AS title FROM raw"),
     "book_pattern": "SELECT 'B' || CAST(o_orderkey AS VARCHAR) AS item, 'B' || CAST(o_orderkey AS VARCHAR) AS \"itemLabel\", c_name AS \"authorLabel\" FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey = 8 ORDER BY item, c_name LIMIT 50 OFFSET 10",
     "book_pattern_all": "SELECT 'B' || CAST(o_orderkey AS VARCHAR) AS item, 'B' || CAST(o_orderkey AS VARCHAR) AS \"itemLabel\", c_name AS \"authorLabel\" FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey = 8",
     "qid_filter": over(RAW, "SELECT title_raw AS title, author_raw AS author, 'wikidata' AS source FROM raw WHERE id % 5 <> 0 AND title_raw <> '' AND author_raw <> ''"),

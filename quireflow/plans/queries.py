@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = adapter.raw(spark, sf_dir)
-    return R.clean_records(raw_source.scan(rows), L.build(rows))
+    return R.clean_records(raw_source.spread(raw_source.scan(rows)), L.build(rows))
 
 
 def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,12 +66,12 @@ of_title("grams", grams=lambda c: F.array_join(F.array_sort(T.grams(T.title_key(
 
 @query
 def promo_cut(spark, sf_dir):
-    return T.with_promo_cut(adapter.raw(spark, sf_dir).select("id", F.col("title_raw").alias("title")), "title").select("id", "title", "cut")
+    return T.with_promo_cut(raw_source.spread(adapter.raw(spark, sf_dir).select("id", F.col("title_raw").alias("title"))), "title").select("id", "title", "cut")
 
 
 @query
 def clean_title(spark, sf_dir):
-    return T.with_clean_title(adapter.raw(spark, sf_dir).select("id", "title_raw"), "title_raw").select("id", "title", "edition", "volume", "confidence")
+    return T.with_clean_title(raw_source.spread(adapter.raw(spark, sf_dir).select("id", "title_raw")), "title_raw").select("id", "title", "edition", "volume", "confidence")
 
 
 @query
@@ -101,7 +102,7 @@ def row_counts(spark, sf_dir):
 
 @query
 def quality_reason(spark, sf_dir):
-    rows = T.with_clean_title(adapter.raw(spark, sf_dir).select("id", "title_raw"), "title_raw")
+    rows = T.with_clean_title(raw_source.spread(adapter.raw(spark, sf_dir).select("id", "title_raw")), "title_raw")
     return rows.select("id", F.coalesce(Q.reject_reason(F.col("title"), T.title_key(F.col("title"))), F.lit("")).alias("reason"))
 
 
@@ -521,6 +522,26 @@ def book_triples(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return triples, labels
 
 
+@query
+def page_stops(spark, sf_dir):
+    """Pages of events as a crawl would take them: up to the first one that is not full."""
+    pages = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("source"), (F.col("user_id") % 50).alias("task_key"), (F.col("event_id") % 40).alias("page"))
+    counted = pages.agg(F.count("*").alias("items"), F.max("event_id").alias("last"))
+    size = F.when(F.col("last") % 11 != 0, F.col("items") + F.col("last") % 7)
+    return ingest.until_short(counted.select("source", "task_key", "page", size.alias("items")), 2)
+
+
+@query
+def gbk_pages(spark, sf_dir):
+    """Titles stored in GBK bytes, read back."""
+
+    @F.pandas_udf("binary")
+    def stored_as(text: pd.Series) -> pd.Series:
+        return text.map(lambda s: s.encode("gbk", "replace"))
+
+    return files.decoded(adapter.raw(spark, sf_dir).select("id", stored_as("title_raw").alias("html")), "gbk").select("id", F.col("html").alias("title"))
+
+
 @query
 def book_pattern(spark, sf_dir):
     """One page of the books by authors of a country."""

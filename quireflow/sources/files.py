@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +39,43 @@ def read_table(spark: SparkSession, url: str, table: str, properties: dict[str,
     return spark.read.jdbc(url, table, properties=properties or {})
 
 
-def write_table(rows: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
-    """A database table by JDBC, replaced."""
-    rows.write.mode("overwrite").jdbc(url, table, properties=properties or {})
+def write_table(rows: DataFrame, url: str, table: str, properties: dict[str, str] | None = None, indexes: tuple[str, ...] = (), indexed_type: str = "VARCHAR(2000)") -> None:
+    """A database table by JDBC, replaced, with an index on each of the (text) columns named.
+
+    Databases don't index unbounded text, so these columns are of ``indexed_type``; a longer value fails the write.
+    The statements quote columns as the writer creates them, in standard double quotes.
+    """
+    writer = rows.write.mode("overwrite")
+    if indexes:
+        writer = writer.option("createTableColumnTypes", ", ".join(f"`{c}` {indexed_type}" for c in indexes))
+    writer.jdbc(url, table, properties=properties or {})
+    if not indexes:
+        return
+    jvm = rows.sparkSession.sparkContext._jvm
+    settings = jvm.java.util.Properties()
+    for name, value in (properties or {}).items():
+        settings.setProperty(name, value)
+    link = jvm.java.sql.DriverManager.getConnection(url, settings)
+    try:
+        statement = link.createStatement()
+        for column in indexes:
+            statement.execute(f'CREATE INDEX idx_{table}_{column} ON {table} ("{column}")')
+        statement.close()
+    finally:
+        link.close()
+
+
+def decoded(pages: DataFrame, charset: str, col: str = "html") -> DataFrame:
+    """``pages`` with the binary column ``col`` as text of a charset (GBK pages, say); bytes that are none become U+FFFD.
+
+    In Arrow batches, as the engine's own decode() knows UTF charsets, ASCII and Latin-1 only. Null stays null.
+    """
+
+    @F.pandas_udf("string")
+    def decode(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda b: None if b is None else bytes(b).decode(charset, "replace"))
+
+    return pages.withColumn(col, decode(F.col(col)))
 
 
 def _write_csv(rows: DataFrame, path: str) -> None:
@@ -77,6 +112,6 @@ def save_all(rows: DataFrame, folder: str, url: str | None = None) -> dict[str,
     legacy_csv(rows, out["csv"])
     legacy_json(rows, out["json"])
     if url:
-        write_table(rows.select("title", "author", "source"), url, "books")
+        write_table(rows.select("title", "author", "source"), url, "books", indexes=("title", "author"))
         out["table"] = url
     return out

@@ -14,6 +14,17 @@ def scan(raw: DataFrame, source: str | None = None) -> DataFrame:
     return rows.where(F.col("source") == source) if source else rows
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` of a scan, in at least as many partitions as the session has cores.
+
+    Cleaning a row costs far more than reading it, and a small or unsplittable file is one partition, so one core's
+    work. A scan with enough partitions, as of any large table, is left as it is. Only for scans: to count
+    the partitions behind a shuffle would run it.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def listing(rows: DataFrame, **columns: Column | str) -> DataFrame:
     """A listing with all columns of the raw schema; absent ones are empty, and rows without a title go."""
     made = {c: columns.get(c, F.lit("")) for c in LISTING}

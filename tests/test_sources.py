@@ -214,3 +214,27 @@ def test_review_file(spark, tmp_path):
     files.review_csv(pairs, str(tmp_path / "review"))
     text = next((tmp_path / "review").glob("*.csv")).read_bytes().decode("utf-8")
     assert text == "\ufefftitle_a,title_b,similarity\r\nc,\"d \"\"e\"\"\",1.0\r\na, b ,0.9\r\n"
+
+
+def test_pages_up_to_the_first_short_one(spark):
+    rows = [("s", "a", 1, 60), ("s", "a", 2, None), ("s", "a", 3, 20), ("s", "a", 4, 60), ("s", "b", 1, 0), ("s", "b", 2, 60), ("s", "c", 1, 60), ("s", None, 1, 5), ("s", None, 2, 60)]
+    pages = spark.createDataFrame(rows, "source string, task_key string, page int, items int")
+    kept = {(r["task_key"], r["page"]) for r in ingest.until_short(pages, 60).collect()}
+    assert kept == {("a", 1), ("a", 3), ("c", 1), (None, 1)}
+    assert ingest.until_short(pages.limit(0), 60).count() == 0
+
+
+def test_charset_of_pages(spark):
+    pages = spark.createDataFrame([(1, bytearray("中国".encode("gbk"))), (2, None), (3, bytearray(b"")), (4, bytearray(b"a\xff"))], "id int, html binary")
+    assert [r["html"] for r in files.decoded(pages, "gbk").orderBy("id").collect()] == ["中国", None, "", "a\ufffd"]
+
+
+def test_database_table(spark, tmp_path):
+    """Written, replaced, indexed and read back, in the database that comes with the engine."""
+    url, driver = f"jdbc:derby:{tmp_path}/books", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = spark.createDataFrame([("红楼梦", "曹雪芹", "douban"), ("家", "", "weread")], "title string, author string, source string")
+    for _ in range(2):
+        files.write_table(rows, f"{url};create=true", "books", driver, indexes=("title", "author"))
+    assert sorted(map(tuple, files.read_table(spark, url, "books", driver).collect())) == sorted(map(tuple, rows.collect()))
+    indexed = files.read_table(spark, url, "(SELECT CONGLOMERATENAME AS n FROM SYS.SYSCONGLOMERATES WHERE ISINDEX) x", driver)
+    assert {"IDX_BOOKS_TITLE", "IDX_BOOKS_AUTHOR"} <= {r[0] for r in indexed.collect()}
