@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from quireflow.llm import bpe, common, decontamination, near_dup, quality, secrets
 from quireflow.llm.queries import QUALITY_THRESHOLD
+from quireflow.operators.storage import discard, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -73,10 +74,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each gives is written to the shared folder and read again."""
+    """All stages over ``documents``; what each gives is written to the shared folder and read again.
+
+    A stage's table is deleted when the next one's is written; the last that is read stays, as the result is made from it.
+    """
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        path = common.scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
