@@ -123,7 +123,7 @@ def _sketch_filter(pairs: DataFrame, share: float) -> DataFrame:
                 yield part.select(["a", "b"]).filter(pa.array(_plausible(a, b, share)))
 
     near = pairs.where(F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b") - 1e-9)
-    return near.select("a", "b", "sketch_a", "sketch_b").mapInArrow(over, "a binary, b binary")
+    return near.select("a", "b", "sketch_a", "sketch_b").mapInArrow(common.trimmed(over), "a binary, b binary")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -206,7 +206,7 @@ def _across(rows: DataFrame, share: float) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.bool_()))], names=["key", "bi", "bj", "a", "b", "side"])
 
-    return rows.mapInArrow(over, "key long, bi int, bj int, a binary, b binary, side boolean")
+    return rows.mapInArrow(common.trimmed(over), "key long, bi int, bj int, a binary, b binary, side boolean")
 
 
 def _dense_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
@@ -265,7 +265,7 @@ def _dense_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([p[c] for p in found], pa.binary()) for c in (0, 1)], names=["a", "b"])
 
-    return rows.mapInArrow(over, "a binary, b binary")
+    return rows.mapInArrow(common.trimmed(over), "a binary, b binary")
 
 
 def _classes(rows: DataFrame) -> DataFrame:
