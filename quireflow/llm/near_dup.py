@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegralType
 
 from ..operators.components import components
-from ..operators.storage import discard, stored
+from ..operators.storage import by_key, discard, stored
 from . import common
 
 #: MinHash values in each of the two collections; bins of the sketch.
@@ -142,12 +142,12 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     left = texts.select(F.col("node").alias("a"), "text")
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("other"))
     # b's text first: a is the leader of many pairs, and its text should not be dealt out with each of them
-    return common.map_texts(pairs.join(right, "b").join(left, "a").select("a", "b", "text", "other"), work, "a binary, b binary")
+    return common.map_texts(pairs.join(by_key(right), "b").join(by_key(left), "a").select("a", "b", "text", "other"), work, "a binary, b binary")
 
 
 def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``node, text``: one text of each wanted class."""
-    first = classes.join(wanted, "node", "left_semi").select("node", F.col("row.doc_id").alias("first_id"), F.col("row.text_key").alias("first_key"))
+    first = classes.join(by_key(wanted), "node", "left_semi").select("node", F.col("row.doc_id").alias("first_id"), F.col("row.text_key").alias("first_key"))
     rows = docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("text_key"), F.col(text_col).alias("text"))
     same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key"))
     return rows.join(first.hint("shuffle_hash"), same).select("node", "text").dropDuplicates(["node"])  # rows may repeat both
@@ -284,7 +284,7 @@ def _buckets(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     tables = values.select("h", "x", "y", F.explode(F.sequence(F.lit(0), F.lit(M * M - 1))).alias("t"))
     keys = tables.select("h", F.xxhash64("t", F.get("x", F.floor(F.col("t") / M).cast("int")), F.get("y", F.col("t") % M)).alias("key"), F.col("t").cast("byte").alias("t"))
     shared = stored(keys.groupBy("key").agg(F.min("h").alias("lead"), F.count("*").alias("size")).where("size > 1"), "buckets")
-    return keys.join(shared, "key"), shared
+    return keys.join(by_key(shared), "key"), shared
 
 
 def _blocks(members: Column, shingles: Column) -> Column:
@@ -297,11 +297,11 @@ def _dealt(held: DataFrame, classes: DataFrame, roots: DataFrame) -> tuple[DataF
     Pairs of blocks: bi < 0 is block -1 - bi of the leader's component against block bj of the others;
     bi >= 0 are two blocks of the others, or one with itself. The leader takes no part, it is done.
     """
-    info = classes.join(roots, "node", "left").select("h", F.xxhash64(F.coalesce("root", "node")).alias("root"), "n")
-    members = held.where("size > 2").join(info, "h")
+    info = classes.join(by_key(roots), "node", "left").select("h", F.xxhash64(F.coalesce("root", "node")).alias("root"), "n")
+    members = held.where("size > 2").join(by_key(info), "h")
     found = members.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.max(F.when(F.col("h") == F.col("lead"), F.col("root"))).alias("main")).where("r0 <> r1").select("key", "main")
     mixed = stored(found, "mixed")
-    rest = stored(members.where("h <> lead").join(mixed, "key").select("key", "h", "t", "root", "n", (F.col("root") == F.col("main")).alias("major")), "open")
+    rest = stored(members.where("h <> lead").join(by_key(mixed), "key").select("key", "h", "t", "root", "n", (F.col("root") == F.col("main")).alias("major")), "open")
     of = lambda value, major: F.sum(F.when(F.col("major") == major, value).otherwise(0))
     counts = stored(rest.groupBy("key").agg(_blocks(of(1, True), of(F.col("n"), True)).alias("bm"), _blocks(of(1, False), of(F.col("n"), False)).alias("bn")).where("bn > 0"), "blocks")
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
@@ -309,8 +309,8 @@ def _dealt(held: DataFrame, classes: DataFrame, roots: DataFrame) -> tuple[DataF
     mine, bm, bn = F.col("mine"), F.col("bm"), F.col("bn")
     as_major = F.transform(upto(bn), lambda j: place(-1 - mine, j, F.lit(False)))
     as_minor = F.concat(F.transform(upto(bm), lambda i: place(-1 - i, mine, F.lit(True))), F.transform(upto(bn), lambda o: place(F.least(mine, o), F.greatest(mine, o), mine > o)))
-    rows = rest.join(counts, "key").withColumn("mine", F.pmod(F.xxhash64("h", F.lit(1)), F.when(F.col("major"), bm).otherwise(bn)).cast("int"))
-    rows = rows.join(classes.select("h", "node", "head", "sketch"), "h").withColumn("place", F.explode(F.when(F.col("major"), as_major).otherwise(as_minor)))
+    rows = rest.join(by_key(counts), "key").withColumn("mine", F.pmod(F.xxhash64("h", F.lit(1)), F.when(F.col("major"), bm).otherwise(bn)).cast("int"))
+    rows = rows.join(by_key(classes.select("h", "node", "head", "sketch")), "h").withColumn("place", F.explode(F.when(F.col("major"), as_major).otherwise(as_minor)))
     rows = rows.select("key", "place.bi", "place.bj", "t", "node", "root", "n", "head", "sketch", "place.side")
     return rows.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "node"), [mixed, rest, counts]
 
@@ -327,7 +327,7 @@ def classes_and_components(docs: DataFrame, width: int = 4, percent: int = 80, i
 
     side = lambda x: classes.select(F.col("h").alias(f"h_{x}"), F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
     stars = held.where("h <> lead").select(F.col("lead").alias("h_a"), F.col("h").alias("h_b")).distinct()
-    stars = stored(_sketch_filter(stars.join(side("b"), "h_b").join(side("a"), "h_a"), share), "stars")
+    stars = stored(_sketch_filter(stars.join(by_key(side("b")), "h_b").join(by_key(side("a")), "h_a"), share), "stars")
     wanted = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
     texts = stored(_texts(docs, classes, wanted, id_col, text_col), "texts")
     links = stored(_confirmed(stars, texts, width, percent), "confirmed")
@@ -340,15 +340,15 @@ def classes_and_components(docs: DataFrame, width: int = 4, percent: int = 80, i
     if not more.isEmpty():
         pairs, dense = more.where("b IS NOT NULL").select("a", "b").distinct(), more.where("b IS NULL").select("key", "bi", "bj", F.col("a").alias("node"), "side")
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(dense.select("node")).distinct()
-        missing = stored(_texts(docs, classes, wanted.join(texts, "node", "left_anti"), id_col, text_col), "texts")
-        both = texts.join(wanted, "node", "left_semi").union(missing)
-        whole = dense.join(both, "node").repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "node")
+        missing = stored(_texts(docs, classes, wanted.join(by_key(texts.select("node")), "node", "left_anti"), id_col, text_col), "texts")
+        both = texts.join(by_key(wanted), "node", "left_semi").union(missing)
+        whole = dense.join(by_key(both), "node").repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "node")
         late = stored(_confirmed(pairs, both, width, percent).union(_dense_links(whole.select("key", "bi", "bj", "node", "text", "side"), width, percent)), "confirmed")
         discard(missing, roots)
         roots = components(links.union(late))
         discard(late)
     component = id_of(F.coalesce("root", "node"), kind)
-    comps = stored(classes.join(roots, "node", "left").select("cls", component.alias("component")), "components")
+    comps = stored(classes.join(by_key(roots), "node", "left").select("cls", component.alias("component")), "components")
     discard(more, texts, links, classes, roots)
     return rows.select("doc_id", "text_key", "n", "cls"), comps
 
@@ -356,5 +356,5 @@ def classes_and_components(docs: DataFrame, width: int = 4, percent: int = 80, i
 def find(docs: DataFrame, width: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", keep_key: bool = False) -> DataFrame:
     """``id, n_shingles, component_id, kept`` for every row, and its ``text_key`` if ``keep_key``."""
     rows, comps = classes_and_components(docs, width, percent, id_col, text_col)
-    out = rows.join(comps, "cls", "left").withColumn("component", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component")))
+    out = rows.join(by_key(comps), "cls", "left").withColumn("component", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component")))
     return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"), *(["text_key"] if keep_key else []))

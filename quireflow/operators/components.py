@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import discard, stored
+from .storage import by_key, discard, stored
 
 #: Stars halve the longest path each round; a graph that fits a table needs far fewer rounds than this.
 MOST_ROUNDS = 100
@@ -19,7 +19,7 @@ def _with_lowest(edges: DataFrame, by: str, of: str) -> DataFrame:
     shuffles, which the engine splits where a node has many rows.
     """
     lowest = edges.groupBy(by).agg(F.min(of).alias("m")).select(F.struct(by).alias("wrapped"), "m")
-    return edges.join(lowest, F.struct(by) == F.col("wrapped")).drop("wrapped")
+    return edges.join(by_key(lowest), F.struct(by) == F.col("wrapped")).drop("wrapped")
 
 
 def components(links: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataFrame:

@@ -31,6 +31,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def by_key(df: DataFrame) -> DataFrame:
+    """``df`` as one side of a join that deals out both sides by their keys, so that neither is sent whole to every task.
+
+    A broadcast is put together in the driver's memory, and the engine's limit for one (10 MB by default) goes by compressed
+    bytes, which unpack to many times that. So what grows with the input isn't left to that choice.
+    """
+    return df.hint("merge")
+
+
 def stored(df: DataFrame, what: str = "table") -> DataFrame:
     """``df`` written to the shared folder and read again; ``discard`` deletes it when nothing needs it any more.
 

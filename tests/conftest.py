@@ -24,6 +24,14 @@ def spark():
     session.stop()
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """The engine may choose broadcasts as by default, but any that it makes fails."""
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1b")
+    yield
+    spark.conf.unset("spark.sql.maxBroadcastTableSize")
+
+
 @pytest.fixture
 def column(spark):
     """Values of a Column function over a list of texts."""

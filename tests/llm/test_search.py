@@ -362,3 +362,16 @@ def test_near_duplicates_of_repeated_and_null_ids(spark):
     assert [got[i, key[t]]["component_id"] for i, t in rows] == want
     alone = near_dup.find(spark.createDataFrame([(None, third), (None, near(third)), (5, third.replace("20", "x"))], "doc_id long, text string"), 4, 80)
     assert {r["component_id"] for r in alone.collect()} == {5}
+
+
+def test_near_duplicates_send_no_table_whole(spark, no_broadcast, monkeypatch):
+    """Nothing that grows with the documents is broadcast, with pairs and with dense buckets."""
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(400)]
+    base = [" ".join(rng.choice(words, 60)) for _ in range(12)]
+    rows = list(enumerate(t if not k else t.replace(t.split()[k], f"x{k}") for t in base for k in range(5)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = groups_by_hand(rows, 4, 80)
+    for dense in (near_dup.DENSE, 0):
+        monkeypatch.setattr(near_dup, "DENSE", dense)
+        assert {r["doc_id"]: r["component_id"] for r in near_dup.find(docs, 4, 80).collect()} == {i: c for (i, _), (_, c) in want.items()}
