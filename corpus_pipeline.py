@@ -37,20 +37,24 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates.
+
+    What goes is dealt out with the texts, as it grows with them; the texts needn't be sorted for that.
+    """
     found = near_dup.find(docs, width=5, percent=80, keep_key=True)
     gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id", "text_key").distinct()
-    left = docs.withColumn("text_key", near_dup.text_key("text")).join(gone, ["doc_id", "text_key"], "left_anti").select(*COLUMNS)
+    left = docs.withColumn("text_key", near_dup.text_key("text")).join(gone.hint("shuffle_hash"), ["doc_id", "text_key"], "left_anti").select(*COLUMNS)
     repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return left
+    repeated = repeated.hint("shuffle_hash")
     return left.join(repeated, "doc_id", "left_anti").union(left.join(repeated, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"]))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
     found = decontamination.leaks(docs, common.table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
+    return docs.join(found.hint("shuffle_hash"), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

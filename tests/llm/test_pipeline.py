@@ -109,3 +109,11 @@ def test_rows_that_share_an_id_are_dropped_one_by_one(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     left = {(r["doc_id"], r["text"]) for r in P.drop_copies(spark, docs, "").collect()}
     assert left == {(1, one), (2, other)}
+
+
+@pytest.mark.parametrize("name", ["near_dup", "decontamination"])
+def test_what_is_dropped_is_not_sent_whole(spark, steps, no_broadcast, name):
+    """No list of documents that go, or of ids that repeat, is broadcast."""
+    before, after, _ = steps[name]
+    docs = spark.createDataFrame([*before, before[0]], spark.read.parquet(f"{SF}/documents.parquet").schema)
+    assert by_id(STAGES[name](spark, docs, SF).collect()) == by_id(after)
