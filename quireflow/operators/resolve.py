@@ -9,7 +9,7 @@ from ..functions import quality as Q
 from ..functions import text as T
 from . import lexicon as L
 from .components import components
-from .storage import cut, discard, stored
+from .storage import by_key, cut, discard, stored
 
 #: Alternative titles listed for a book.
 ALIASES = 8
@@ -58,10 +58,10 @@ def clusters(cands: DataFrame) -> DataFrame:
     cands = stored(cands, "candidates")
     pairs = cands.where(F.col("isbn") != "").select("key", "isbn").distinct()
     lowest = pairs.groupBy("isbn").agg(F.min("key").alias("low"))
-    links = pairs.join(lowest, "isbn").where("key <> low").select(F.col("key").alias("a"), F.col("low").alias("b"))
+    links = pairs.join(by_key(lowest), "isbn").where("key <> low").select(F.col("key").alias("a"), F.col("low").alias("b"))
     found = components(links)
     roots = found.select(F.col("node").alias("key"), F.col("root").alias("cluster"))
-    out = stored(cands.join(roots, "key", "left").withColumn("cluster", F.coalesce("cluster", "key")), "clusters")
+    out = stored(cands.join(by_key(roots), "key", "left").withColumn("cluster", F.coalesce("cluster", "key")), "clusters")
     discard(cands, found)
     return out
 
@@ -93,7 +93,7 @@ def alias_lists(clustered: DataFrame, best: DataFrame) -> DataFrame:
     titles = clustered.select("cluster", "title_raw").distinct()
     few = titles.withColumn("r", F.row_number().over(Window.partitionBy("cluster").orderBy("title_raw"))).where(F.col("r") <= ALIASES + 1)
     held = few.groupBy("cluster").agg(F.array_sort(F.collect_list("title_raw")).alias("titles"))
-    joined = best.select("cluster", F.col("best.title_raw").alias("chosen")).join(held, "cluster")
+    joined = best.select("cluster", F.col("best.title_raw").alias("chosen")).join(by_key(held), "cluster")
     return joined.select("cluster", F.array_join(F.slice(F.array_except("titles", F.array("chosen")), 1, ALIASES), " | ").alias("aliases"))
 
 
@@ -101,7 +101,7 @@ def canonical_books(clustered: DataFrame) -> DataFrame:
     """One row for each cluster; ``id`` is the smallest raw id of the cluster, in books and members alike."""
     best = survivors(clustered)
     ids = clustered.groupBy("cluster").agg(F.min("raw_id").alias("id"))
-    rows = best.join(ids, "cluster").join(source_lists(clustered), "cluster").join(alias_lists(clustered, best), "cluster").join(first_authors(clustered), "cluster", "left")
+    rows = best.join(by_key(ids), "cluster").join(by_key(source_lists(clustered)), "cluster").join(by_key(alias_lists(clustered, best)), "cluster").join(by_key(first_authors(clustered)), "cluster", "left")
     author = F.coalesce("author", F.lit(""))
     b = lambda c: F.col(f"best.{c}")
     return rows.select(
@@ -114,7 +114,7 @@ def canonical_books(clustered: DataFrame) -> DataFrame:
 def members(clustered: DataFrame) -> DataFrame:
     """``book_id, raw_id``: every candidate once."""
     ids = clustered.groupBy("cluster").agg(F.min("raw_id").alias("book_id"))
-    return clustered.select("cluster", "raw_id").join(ids, "cluster").select("book_id", "raw_id")
+    return clustered.select("cluster", "raw_id").join(by_key(ids), "cluster").select("book_id", "raw_id")
 
 
 def numbered(books: DataFrame) -> DataFrame:
@@ -131,4 +131,4 @@ def numbered(books: DataFrame) -> DataFrame:
 
 def lineage(books: DataFrame, member_rows: DataFrame, raw: DataFrame) -> DataFrame:
     """Every raw row that made it into a book, with the book's title."""
-    return member_rows.join(books.select(F.col("id").alias("book_id"), "title"), "book_id").join(raw.select(F.col("id").alias("raw_id"), "source", "title_raw"), "raw_id")
+    return member_rows.join(by_key(books.select(F.col("id").alias("book_id"), "title")), "book_id").join(by_key(raw.select(F.col("id").alias("raw_id"), "source", "title_raw")), "raw_id")

@@ -133,7 +133,7 @@ def lexicon_override(spark, sf_dir):
     """Rows whose cleaned title a lexicon hit replaced."""
     rows = adapter.raw(spark, sf_dir)
     plain = R.clean_records(rows).select("raw_id", F.col("title").alias("before"))
-    return R.clean_records(rows, L.build(rows)).select("raw_id", "title", "confidence").join(plain, "raw_id").where("title <> before")
+    return R.clean_records(rows, L.build(rows)).select("raw_id", "title", "confidence").join(storage.by_key(plain), "raw_id").where("title <> before")
 
 
 @query

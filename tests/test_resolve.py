@@ -3,12 +3,14 @@
 import random
 
 import pytest
+from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from quireflow.operators import lexicon as L
 from quireflow.operators import near_titles, report
 from quireflow.operators import resolve as R
 from quireflow.operators.components import components
+from quireflow.plans.queries import QUERIES
 from quireflow.sources.schemas import RAW
 
 
@@ -156,3 +158,9 @@ def test_blocks_of_any_size(spark):
     books = spark.createDataFrame([(f"{long}{chr(0x4E00 + k)}", f"{long}{chr(0x4E00 + k)}") for k in range(30)], "title string, title_key string")
     assert near_titles.near_duplicates(books, 0.9).count() == 30 * 29 // 2
     assert near_titles.near_duplicates(books, 0.9, 20).count() == 0
+
+
+@pytest.mark.parametrize("name", ["lexicon_match", "lexicon_override", "canonical_books", "members", "lineage"])
+def test_no_listing_table_is_sent_whole(spark, no_broadcast, name):
+    """Lexicon, clusters and books grow with the listings, so none is broadcast, however small it looks."""
+    assert len(QUERIES[name](spark, f"{TESTDATA}/sf0.01").collect()) > 0
