@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .storage import by_key
 
 
 def near_duplicates(books: DataFrame, threshold: float = 0.9, max_block: int | None = None) -> DataFrame:
@@ -26,7 +27,7 @@ def near_duplicates(books: DataFrame, threshold: float = 0.9, max_block: int | N
     rows = keys.withColumn("block", F.explode(F.array("n", F.col("n") - 1))).join(blocks, ["c", "block"]).withColumn("gram", F.explode(heads))
     left = rows.select("c", "block", "gram", F.col("key").alias("ka"), F.col("title").alias("ta"), F.col("g").alias("ga"))
     right = rows.select("c", "block", "gram", F.col("key").alias("kb"), F.col("title").alias("tb"), F.col("g").alias("gb"))
-    pairs = left.join(right, ["c", "block", "gram"]).where("ka < kb")
+    pairs = left.join(by_key(right), ["c", "block", "gram"]).where("ka < kb")
     shared = F.size(F.array_intersect("ga", "gb"))
     similar = shared / (F.size("ga") + F.size("gb") - shared)
     found = pairs.withColumn("sim", similar).where(F.col("sim") >= threshold)

@@ -1,6 +1,7 @@
 """Lexicon, clusters and canonical rows against plain Python."""
 
 import random
+import re
 
 import pytest
 from conftest import TESTDATA
@@ -164,3 +165,11 @@ def test_blocks_of_any_size(spark):
 def test_no_listing_table_is_sent_whole(spark, no_broadcast, name):
     """Lexicon, clusters and books grow with the listings, so none is broadcast, however small it looks."""
     assert len(QUERIES[name](spark, f"{TESTDATA}/sf0.01").collect()) > 0
+
+
+def test_near_titles_compare_without_broadcast(spark):
+    books = spark.createDataFrame([("红楼梦新证上", "红楼梦新证上"), ("红楼梦新证上下", "红楼梦新证上下")], "title string, title_key string")
+    df = near_titles.near_duplicates(books, 0.5)
+    assert df.count() == len(df.collect()) == 1
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join [c#" in plan and not re.search(r"BroadcastHashJoin \[c#\d+, block#\d+L?, gram", plan)
