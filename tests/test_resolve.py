@@ -173,3 +173,11 @@ def test_near_titles_compare_without_broadcast(spark):
     assert df.count() == len(df.collect()) == 1
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Join [c#" in plan and not re.search(r"BroadcastHashJoin \[c#\d+, block#\d+L?, gram", plan)
+
+
+@pytest.mark.parametrize("name", [
+    "completeness",
+])
+def test_no_table_behind_a_result_is_sent_whole(spark, no_broadcast, name):
+    """The rest of what is built on lexicon, clusters and books, also where the result is a single row."""
+    assert len(QUERIES[name](spark, f"{TESTDATA}/sf0.01").collect()) > 0
