@@ -178,6 +178,7 @@ def test_near_titles_compare_without_broadcast(spark):
 @pytest.mark.parametrize("name", [
     "completeness",
     "decade_histogram",
+    "multi_source",
 ])
 def test_no_table_behind_a_result_is_sent_whole(spark, no_broadcast, name):
     """The rest of what is built on lexicon, clusters and books, also where the result is a single row."""
