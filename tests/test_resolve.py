@@ -186,6 +186,7 @@ def test_near_titles_compare_without_broadcast(spark):
     "source_list",
     "export_rows",
     "high_conf_split",
+    "confidence_tiers",
 ])
 def test_no_table_behind_a_result_is_sent_whole(spark, no_broadcast, name):
     """The rest of what is built on lexicon, clusters and books, also where the result is a single row."""
