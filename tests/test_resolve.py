@@ -191,3 +191,43 @@ def test_near_titles_compare_without_broadcast(spark):
 def test_no_table_behind_a_result_is_sent_whole(spark, no_broadcast, name):
     """The rest of what is built on lexicon, clusters and books, also where the result is a single row."""
     assert len(QUERIES[name](spark, f"{TESTDATA}/sf0.01").collect()) > 0
+
+
+def join_rows(node):
+    """The most rows that a join of an executed plan gave."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return join_rows(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return join_rows(node.plan())
+    own = node.metrics().apply("numOutputRows").value() if "Join" in kind else 0
+    return max([own, *[join_rows(node.children().apply(k)) for k in range(node.children().size())]])
+
+
+def test_titles_with_much_in_common_are_not_all_compared(spark):
+    """Long titles that differ in a few last characters share their first grams in any fixed order, but not their rare ones."""
+    digits = "天地玄黄宇宙"
+    books = [(k, k) for k in ("甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳午未申酉" + a + b + c for a in digits for b in digits for c in ["", *digits])]
+    df = near_titles.near_duplicates(spark.createDataFrame(books, "title string, title_key string"), 0.9)
+    got = {(r["title_a"], r["title_b"]): r["similarity"] for r in df.collect()}
+    assert got == near_by_hand(books, 0.9, 4000) and len(got) > 500
+    assert join_rows(df._jdf.queryExecution().executedPlan()) < 12_000  # of 252 * 251 / 2 = 31,626 pairs
+
+
+def test_near_titles_of_many_lengths(spark):
+    """Sizes, repeated grams and thresholds against all pairs; several titles of a key are each a row."""
+    rng = random.Random(4)
+    keys = set()
+    for _ in range(25):
+        key = "甲" + "".join(rng.choice("乙丙丁戊己庚辛壬") for _ in range(rng.choice([1, 3, 12, 25, 26, 60])))
+        keys.add(key)
+        for _ in range(4):
+            at = rng.randrange(1, len(key))
+            keys |= {key[:at] + rng.choice("乙丙子") + key[at + 1 :], key[:at] + key[at + 1 :], key[:at] + key[at - 1] + key[at:]}
+    keys |= {"甲" * n for n in range(1, 9)} | {"甲乙" * n for n in range(1, 9)}
+    books = [(f"《{k}》", k) for k in sorted(keys)] + [(f"又{k}", k) for k in sorted(keys)[::5]]
+    df = spark.createDataFrame(books, "title string, title_key string")
+    for threshold, most in ((0.95, None), (0.9, None), (0.9, 40), (0.7, None), (0.3, 40)):
+        got = {(r["title_a"], r["title_b"]): r["similarity"] for r in near_titles.near_duplicates(df, threshold, most).collect()}
+        want = {p: s for p, s in near_by_hand(books, threshold, most or 10**9).items() if p[0].strip("《》又") != p[1].strip("《》又")}
+        assert got == want and want
