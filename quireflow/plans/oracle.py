@@ -301,7 +301,7 @@ ORACLE: dict[str, str] = {
     "near_duplicates": over(
         f"""{BOOKS}, ks AS (SELECT title, title_key AS k, substr(title_key, 1, 1) AS c, length(title_key) AS n, list_distinct(list_transform(range(1, greatest(length(title_key) - 1, 1) + 1), lambda i: substr(title_key, i, 2))) AS g FROM books),
 sizes AS (SELECT c, n, count(*) AS own FROM ks GROUP BY c, n),
-blocks AS (SELECT a.c, a.n FROM sizes a LEFT JOIN sizes b ON a.c = b.c AND b.n = a.n + 1 WHERE a.own + coalesce(b.own, 0) BETWEEN 2 AND 4000),
+blocks AS (SELECT a.c, a.n FROM sizes a LEFT JOIN sizes b ON a.c = b.c AND b.n = a.n + 1 WHERE a.own + coalesce(b.own, 0) >= 2),
 pairs AS (SELECT DISTINCT x.title AS tx, y.title AS ty, x.g AS gx, y.g AS gy FROM blocks JOIN ks x ON x.c = blocks.c AND x.n IN (blocks.n, blocks.n + 1) JOIN ks y ON y.c = blocks.c AND y.n IN (blocks.n, blocks.n + 1) AND x.k < y.k),
 sims AS (SELECT tx, ty, CAST(len(list_intersect(gx, gy)) AS DOUBLE) / (len(gx) + len(gy) - len(list_intersect(gx, gy))) AS sim FROM pairs)""",
         "SELECT least(tx, ty) AS title_a, greatest(tx, ty) AS title_b, round(max(sim), 3) AS similarity FROM sims WHERE sim >= 0.9 GROUP BY 1, 2",

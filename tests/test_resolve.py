@@ -11,6 +11,7 @@ from quireflow.operators import lexicon as L
 from quireflow.operators import near_titles, report
 from quireflow.operators import resolve as R
 from quireflow.operators.components import components
+from quireflow.plans import queries
 from quireflow.plans.queries import QUERIES
 from quireflow.sources.schemas import RAW
 
@@ -231,3 +232,12 @@ def test_near_titles_of_many_lengths(spark):
         got = {(r["title_a"], r["title_b"]): r["similarity"] for r in near_titles.near_duplicates(df, threshold, most).collect()}
         want = {p: s for p, s in near_by_hand(books, threshold, most or 10**9).items() if p[0].strip("《》又") != p[1].strip("《》又")}
         assert got == want and want
+
+
+def test_near_duplicates_of_a_large_block(spark, monkeypatch):
+    """The query passes over no block, here one of 4,102 keys."""
+    keys = [chr(0x4E00 + k) + chr(0x6E00 + k) for k in range(4100)]
+    books = spark.createDataFrame([(k, k) for k in ["甲" + "".join(keys[k : k + 5]) for k in range(4100)] + ["甲乙乙丙乙乙丙", "甲乙丙乙乙乙丙"]], "title string, title_key string").withColumn("title_key", F.when(F.length("title") == 7, F.col("title")).otherwise(F.substring("title", 1, 7)))
+    monkeypatch.setattr(queries, "books", lambda spark, sf_dir: books)
+    got = [(r["title_a"], r["title_b"]) for r in QUERIES["near_duplicates"](spark, "").collect()]
+    assert got == [("甲乙丙乙乙乙丙", "甲乙乙丙乙乙丙")]  # the same grams in another order
